@@ -475,11 +475,19 @@ def q_log_summary(spark, sf):
     return fl.log_summary(_scanned(spark, sf))
 
 
+_ATTEMPT_LOG_SQL = """SELECT user_id, CAST(event_id AS VARCHAR) || ' - HTTP ' || coalesce(CAST(CASE event_type WHEN 'view' THEN 200
+  WHEN 'signup' THEN 401 WHEN 'error' THEN 429 WHEN 'click' THEN 500 END AS VARCHAR), 'timeout') || ' - '
+  || CASE WHEN value > 25 THEN 'Token expired: ' || props ELSE props END AS line FROM events"""
+
+
 @register("log_auth_hits", f"""
-SELECT source, CAST(count(*) AS BIGINT) AS n FROM (SELECT source, unnest({_LINES_SQL.format(t='text')}) AS line FROM documents)
+SELECT user_id, CAST(count(*) AS BIGINT) AS n FROM ({_ATTEMPT_LOG_SQL})
 WHERE regexp_matches(line, '(?i)401|unauthorized|token.*expired|authentication.*failed') GROUP BY 1""")
 def q_log_auth_hits(spark, sf):
-    return fl.auth_line_hits(Tables(spark, sf)("documents"), "text", ["source"])
+    a = attempts(Tables(spark, sf))
+    line = F.concat(F.col("event_id").cast("string"), F.lit(" - HTTP "),
+                    F.coalesce(F.col("status").cast("string"), F.lit("timeout")), F.lit(" - "), F.col("body"))
+    return fl.auth_line_hits(a.select("user_id", line.alias("line")), "line", ["user_id"])
 
 
 @register("attempt_action", """

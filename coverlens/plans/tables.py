@@ -111,6 +111,6 @@ def attempts(t: Tables) -> DataFrame:
               .when(F.col("event_type") == "error", 429).when(F.col("event_type") == "click", 500))
     body = F.when(F.col("value") > 25, F.concat(F.lit("Token expired: "), F.col("props"))).otherwise(F.col("props"))
     error = F.when(status.isNull(), F.lit("Read timeout"))
-    return e.select("event_id", status.alias("status"), body.alias("body"), error.alias("error"),
+    return e.select("event_id", "user_id", status.alias("status"), body.alias("body"), error.alias("error"),
                     (F.col("event_id") % 3 + 1).cast("int").alias("attempt_no"),
                     (F.col("value") < 10).alias("refreshed"))
