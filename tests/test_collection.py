@@ -1,0 +1,64 @@
+"""End-to-end collector plan on synthetic domain tables: catalogue x zips, batches, ledger, D2."""
+
+from pyspark.sql import functions as F
+
+from coverlens.plans.collection import analyze_prices, located_zips, plan_requests, resolved_catalog
+
+
+def _tables(spark):
+    catalog = spark.createDataFrame(
+        [(0, "00000000001", "Drug One", "Tab", 5), (1, "00000000002", "", "Cap", 3), (2, "00000000003", "Three", "Inj", 1)],
+        "ordinal long, PROCEDURE_CODE string, DRUG_NAME_WITH_FORM_STRENGTH string, DOSAGE_FORM string, CLAIM_COUNT long"
+    ).withColumn("TOTAL_BENEFIT_AMOUNT", F.lit(" 1 "))
+    uuids = spark.createDataFrame([("00000000001", "u1"), ("00000000002", "u2"), ("00000000003", "")],
+                                  "procedure_code string, care_uuid string")
+    zips = spark.createDataFrame(
+        [("FL", 0, "31058"), ("FL", 1, "33101"), ("FL", 2, "33102"), ("GA", 0, "30301"), ("GA", 1, "31058"),
+         ("OH", 0, "43001"), ("OH", 1, "43002"), ("OH", 2, "43003")], "state string, ordinal long, zip string")
+    geocodes = spark.createDataFrame(
+        [(z, s, 1.0 + i, -2.0, "" if z == "33101" else f"C{z}") for i, (s, z) in enumerate(
+            [("FL", "31058"), ("FL", "33101"), ("FL", "33102"), ("GA", "30301"), ("GA", "31058"),
+             ("OH", "43001"), ("OH", "43002")])], "zip string, state string, lat double, lng double, city string")
+    return catalog, uuids, zips, geocodes
+
+
+def test_catalog_and_zips(spark):
+    catalog, uuids, zips, geocodes = _tables(spark)
+    drugs, rej = resolved_catalog(catalog, uuids)
+    assert sorted(r.procedure_code for r in drugs.collect()) == ["00000000001", "00000000002"]
+    assert [(r.n, r.procedure_code) for r in rej.collect()] == [(1, "00000000003")]
+    loc, missing = located_zips(zips, geocodes, states=["OH", "FL"], batch_num=1, total_batches=2)
+    assert sorted((r.state, r.zip) for r in loc.collect()) == [("FL", "31058"), ("FL", "33101"), ("OH", "43001"),
+                                                               ("OH", "43002")]
+    assert [r.city for r in loc.filter("zip = '33101'").collect()] == ["FL_City"]
+    assert missing.count() == 0
+    _, missing_all = located_zips(zips, geocodes)
+    assert [r.zip for r in missing_all.collect()] == ["43003"]
+
+
+def test_plan_requests(spark):
+    catalog, uuids, zips, geocodes = _tables(spark)
+    plan = plan_requests(catalog, uuids, zips, geocodes)
+    rows = plan.orderBy("position").collect()
+    # 2 drugs x 7 located zips, minus the GA copy of 31058 for each drug (first state wins, D2)
+    assert len(rows) == 12
+    assert [r.combination_key for r in rows[:6]] == ["00000000001_31058", "00000000001_33101", "00000000001_33102",
+                                                    "00000000001_30301", "00000000001_43001", "00000000001_43002"]
+    assert {r.state for r in rows if r.zip_code == "31058"} == {"FL"}
+    assert rows[6].searchedQuery == "prescription" and rows[0].searchedQuery == "drug one"
+    assert rows[0].locationLat == "1.0" and len(rows[0].intentCallId) == 36
+    ledger = spark.createDataFrame([("00000000001_31058", "r1", 1, "failed"), ("00000000002_43002", "r1", 2, "ok")],
+                                   "combination_key string, run_id string, seq long, status string")
+    assert plan_requests(catalog, uuids, zips, geocodes, ledger=ledger).count() == 10
+    assert plan_requests(catalog, uuids, zips, geocodes, ledger=ledger, retry_failed=True).count() == 11
+    smoke = plan_requests(catalog, uuids, zips, geocodes, zip_preview=2, catalog_preview=1)
+    assert smoke.count() == 5   # 1 drug x (2 FL + 2 GA + 2 OH) minus the GA copy of 31058
+
+
+def test_analyze_prices(spark):
+    prices = spark.createDataFrame(
+        [(0, "1", "A", 3.0, "a"), (1, "1", "A", 0.0, "a"), (2, "2", "A", 4.0, "a2"), (3, "2", "A", None, "a3")],
+        "ordinal long, zip_code string, procedure_code string, estimated_member_responsibility double, drug_name string")
+    groups, summary = analyze_prices(prices)
+    assert [tuple(r) for r in groups.collect()] == [("2", "A", "a2")]
+    assert tuple(summary.first()) == (1, 1, 1)
