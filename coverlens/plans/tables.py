@@ -36,7 +36,9 @@ def landed_responses(t: Tables) -> DataFrame:
     o = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
     li = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                               "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus")
-    rows = o.join(li, o.o_orderkey == li.l_orderkey, "left")
+    # lineitem is the fact side: a sort-merge join keeps the JSON building spread over
+    # the join's partitions instead of one probe task per orders file.
+    rows = o.join(li.hint("merge"), o.o_orderkey == li.l_orderkey, "left")
     has_line = F.col("l_orderkey").isNotNull()
     pharmacies = F.array(
         _j(("name", F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))),

@@ -67,3 +67,21 @@ def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else None
+
+
+def ensure_parallelism(df: DataFrame, keys: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Spread a CPU-heavy row-wise stage over the cluster when its input has too few partitions.
+
+    Small inputs (one file, one row group) give one scan task; JSON parsing or text
+    splitting then runs in a single task.  When the input already has at least the
+    default parallelism (always the case for large data) nothing changes.  Otherwise
+    it is hash-partitioned by ``keys`` (deterministic on retry, and the same exchange
+    a following join or aggregate on ``keys`` needs) or round-robin without keys.
+    """
+    if df.isStreaming:
+        return df  # micro-batches are sized by the source options instead
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
