@@ -56,14 +56,13 @@ def failures_distinct(fails: DataFrame) -> DataFrame:
 
 
 def log_summary(scanned: DataFrame) -> DataFrame:
-    """Matched lines, distinct pairs, zips and drugs (A10)."""
-    p = scanned.filter("parsed")
-    pairs = p.select("zipcode", "drug_name").distinct()
-    lines = scanned.agg(F.count(F.lit(1)).cast("long").alias("n_lines")).withColumn("__one", F.lit(1))
-    totals = pairs.agg(F.count(F.lit(1)).cast("long").alias("n_pairs"),
-                       F.count_distinct("zipcode").cast("long").alias("n_zip"),
-                       F.count_distinct("drug_name").cast("long").alias("n_drug")).withColumn("__one", F.lit(1))
-    return lines.join(totals, "__one").drop("__one")
+    """Matched lines, distinct pairs, zips and drugs (A10): per-pair counts, then one global aggregate."""
+    per_pair = scanned.groupBy("parsed", "zipcode", "drug_name").agg(F.count(F.lit(1)).alias("__c"))
+    p = F.col("parsed")
+    return per_pair.agg(F.coalesce(F.sum("__c"), F.lit(0)).cast("long").alias("n_lines"),
+                        F.count_if(p).cast("long").alias("n_pairs"),
+                        F.count_distinct(F.when(p, F.col("zipcode"))).cast("long").alias("n_zip"),
+                        F.count_distinct(F.when(p, F.col("drug_name"))).cast("long").alias("n_drug"))
 
 
 def auth_line_hits(docs: DataFrame, text: str, by: Sequence[str], pattern: str = AUTH_PATTERN) -> DataFrame:

@@ -44,11 +44,9 @@ def match_codes(left: DataFrame, left_code: str, left_carry: dict[str, str], lef
 
 
 def code_match_summary(left: DataFrame, left_code: str, right: DataFrame, right_code: str) -> DataFrame:
-    """Distinct codes on each side and on both."""
-    l = _keyed(left, left_code).select("__key").distinct()
-    r = _keyed(right, right_code).select("__key").distinct()
-    both = l.join(r, "__key", "left_semi")
-    counts = [x.agg(F.count(F.lit(1)).cast("long").alias(n)).withColumn("__one", F.lit(1))
-              for x, n in ((l, "n_left"), (r, "n_right"), (both, "n_both"))]
-    # Three one-row aggregates joined on a constant key: each side is exactly one row.
-    return counts[0].join(counts[1], "__one").join(counts[2], "__one").drop("__one")
+    """Distinct codes on each side and on both (A11), as one aggregate over side-tagged keys."""
+    l = _keyed(left, left_code).select("__key", F.lit(1).alias("__l"), F.lit(0).alias("__r"))
+    r = _keyed(right, right_code).select("__key", F.lit(0).alias("__l"), F.lit(1).alias("__r"))
+    per_key = l.unionByName(r).groupBy("__key").agg(F.max("__l").alias("__l"), F.max("__r").alias("__r"))
+    return per_key.agg(F.sum("__l").cast("long").alias("n_left"), F.sum("__r").cast("long").alias("n_right"),
+                       F.count_if((F.col("__l") == 1) & (F.col("__r") == 1)).cast("long").alias("n_both"))

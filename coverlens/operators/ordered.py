@@ -44,10 +44,6 @@ def _lead_number(df: DataFrame, col: str) -> Column | None:
     return None
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def _join_back(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Null-safe equi-join on ``cols`` that keeps one copy of each key column."""
     r = right.select(*[F.col(c).alias(f"__r_{c}") for c in cols],
@@ -96,18 +92,26 @@ def running_scan(
         staged = staged.withColumn(f"__c{i}", F.coalesce(cond, F.lit(False)))
 
     lead = _lead_number(staged, order[0])
+    null_bucket = _NULL_LAST_BUCKET if descending else _NULL_FIRST_BUCKET
     if lead is None:
         staged = staged.withColumn("__b", F.lit(0).cast("long"))
     else:
         key = (-lead) if descending else lead
         staged = staged.withColumn("__k", key)
-        stats = staged.groupBy(*keys).agg(
-            F.min("__k").alias("__lo"), F.max("__k").alias("__hi"), F.count(F.lit(1)).alias("__n"))
-        nb = F.ceil(F.col("__n") / F.lit(target))
-        stats = stats.select(*keys, "__lo", F.when((F.col("__n") > target) & (F.col("__hi") > F.col("__lo")),
-                                                   (F.col("__hi") - F.col("__lo")) / nb).alias("__w"))
-        staged = _join_back(staged, stats, keys)
-        null_bucket = _NULL_LAST_BUCKET if descending else _NULL_FIRST_BUCKET
+        if not by:
+            # Whole-table order: the three statistics are one tiny aggregate, used as literals.
+            st = staged.agg(F.min("__k").alias("lo"), F.max("__k").alias("hi"), F.count(F.lit(1)).alias("n")).first()
+            lo, hi, n = st["lo"], st["hi"], st["n"]
+            width = (hi - lo) / -(-n // target) if (n > target and hi is not None and hi > lo) else None
+            staged = staged.withColumn("__lo", F.lit(lo).cast("double")).withColumn(
+                "__w", F.lit(width).cast("double"))
+        else:
+            stats = staged.groupBy(*keys).agg(
+                F.min("__k").alias("__lo"), F.max("__k").alias("__hi"), F.count(F.lit(1)).alias("__n"))
+            nb = F.ceil(F.col("__n") / F.lit(target))
+            stats = stats.select(*keys, "__lo", F.when((F.col("__n") > target) & (F.col("__hi") > F.col("__lo")),
+                                                       (F.col("__hi") - F.col("__lo")) / nb).alias("__w"))
+            staged = _join_back(staged, stats, keys)
         staged = staged.withColumn(
             "__b",
             F.when(F.col("__k").isNull(), F.lit(null_bucket))
