@@ -103,6 +103,8 @@ def running_scan(
             st = staged.agg(F.min("__k").alias("lo"), F.max("__k").alias("hi"), F.count(F.lit(1)).alias("n")).first()
             lo, hi, n = st["lo"], st["hi"], st["n"]
             width = (hi - lo) / -(-n // target) if (n > target and hi is not None and hi > lo) else None
+            if width is None:
+                return _plain_scan(df, base_cols, keys, order, descending, ordinal, sums, last_pos_where, group_size)
             staged = staged.withColumn("__lo", F.lit(lo).cast("double")).withColumn(
                 "__w", F.lit(width).cast("double"))
         else:
@@ -111,6 +113,10 @@ def running_scan(
             nb = F.ceil(F.col("__n") / F.lit(target))
             stats = stats.select(*keys, "__lo", F.when((F.col("__n") > target) & (F.col("__hi") > F.col("__lo")),
                                                        (F.col("__hi") - F.col("__lo")) / nb).alias("__w"))
+            # Runtime decision, as AQE makes for joins: when no group is larger than one
+            # bucket, a window per group is already bounded and needs no second level.
+            if stats.filter(F.col("__w").isNotNull()).limit(1).count() == 0:
+                return _plain_scan(df, base_cols, keys, order, descending, ordinal, sums, last_pos_where, group_size)
             staged = _join_back(staged, stats, keys)
         staged = staged.withColumn(
             "__b",
@@ -159,6 +165,35 @@ def running_scan(
     return out.select(*[c for c in base_cols if c not in extra], *extra)
 
 
+def _plain_scan(df: DataFrame, base_cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
+                descending: bool, ordinal: str, sums: Mapping[str, Column],
+                last_pos_where: Mapping[str, Column], group_size: str | None) -> DataFrame:
+    """One window per group: used when every group fits in one bucket (at most ``target_rows``)."""
+    sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    w = Window.partitionBy(*keys).orderBy(*sort)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Measures are staged first: an output name may equal a column another measure reads.
+    staged = df
+    for i, expr in enumerate(sums.values()):
+        staged = staged.withColumn(f"__s{i}", expr)
+    for i, cond in enumerate(last_pos_where.values()):
+        staged = staged.withColumn(f"__c{i}", F.coalesce(cond, F.lit(False)))
+    out = staged.withColumn("__o", F.row_number().over(w).cast("long"))
+    for i in range(len(sums)):
+        out = out.withColumn(f"__rs{i}", F.sum(f"__s{i}").over(run))
+    for i in range(len(last_pos_where)):
+        out = out.withColumn(f"__rp{i}", F.max(F.when(F.col(f"__c{i}"), F.col("__o"))).over(run))
+    extra = [F.col("__o").alias(ordinal)]
+    extra += [F.col(f"__rs{i}").alias(name) for i, name in enumerate(sums)]
+    extra += [F.col(f"__rp{i}").alias(name) for i, name in enumerate(last_pos_where)]
+    names = [ordinal, *sums, *last_pos_where]
+    if group_size:
+        out = out.withColumn("__gn", F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("long"))
+        extra.append(F.col("__gn").alias(group_size))
+        names.append(group_size)
+    return out.select(*[c for c in base_cols if c not in names], *extra)
+
+
 def ntile_of(ordinal: Column, size: Column, k: int | Column) -> Column:
     """1-based batch of a 1-based ``ordinal`` among ``size`` rows cut into ``k`` contiguous batches.
 

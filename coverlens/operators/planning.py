@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from coverlens.functions.attempts import REQUEST_DELAY_SEC
 from coverlens.operators.ordered import running_scan
+from coverlens.session import ensure_checkpoint_dir
 
 
 def plan_grid(catalog: DataFrame, cat_order: Sequence[str], locations: DataFrame,
@@ -21,8 +22,11 @@ def plan_grid(catalog: DataFrame, cat_order: Sequence[str], locations: DataFrame
     side has to be broadcast and the shuffle is balanced at any size.  ``position``
     is (catalogue ordinal - 1) * n + location ordinal, the reference's loop order.
     """
-    locs = running_scan(locations, [], loc_order, ordinal="location_ordinal")
-    n = locations.count()
+    # The numbered locations are used three times (count, join, statistics); they are
+    # written once to the shared checkpoint folder so their lineage is computed once.
+    ensure_checkpoint_dir(locations.sparkSession)
+    locs = running_scan(locations, [], loc_order, ordinal="location_ordinal").checkpoint(eager=True)
+    n = locs.count()
     cats = running_scan(catalog, [], cat_order, ordinal="catalog_ordinal")
     spread = cats.withColumn("location_ordinal", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(n).cast("long"))))
     grid = spread.join(locs, "location_ordinal", "inner")

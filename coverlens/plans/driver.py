@@ -570,3 +570,71 @@ SELECT CAST(count(*) AS BIGINT) AS n_src, CAST(count(*) AS BIGINT) AS n_dst, CAS
 def q_reconcile_copy(spark, sf):
     p = Tables(spark, sf)("part")
     return sinks.reconcile_copy(p, work_dir(spark, "reconcile"), "csv")
+
+
+# ---------------------------------------------------------------- the collector's plan, end to end (3.1)
+_SEGMENT_ORDER = ["AUTOMOBILE", "BUILDING", "MACHINERY"]
+
+
+def _domain_inputs(t: Tables):
+    """Catalogue, uuid map, zip lists and geocodes of the collector, derived from the driver's tables."""
+    from coverlens.operators.ordered import running_scan
+
+    n, r, c = t("nation"), t("region"), t("customer")
+    code = F.lpad(F.col("n_nationkey").cast("string"), 11, "0")
+    catalog = n.select(code.alias("PROCEDURE_CODE"), F.col("n_name").alias("DRUG_NAME_WITH_FORM_STRENGTH"),
+                       F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("DOSAGE_FORM"),
+                       F.lit("").alias("TOTAL_BENEFIT_AMOUNT"), F.col("n_regionkey").cast("long").alias("CLAIM_COUNT"),
+                       F.col("n_nationkey").cast("long").alias("ordinal"))
+    uuids = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        code.alias("procedure_code"),
+        F.when(F.col("n_regionkey") == 4, F.lit("")).otherwise(F.concat(F.lit("care_"), F.col("r_name"))).alias("care_uuid"))
+    zip_of = F.expr("c_custkey div 2").cast("string")
+    raw = c.select(F.col("c_mktsegment").alias("state"), zip_of.alias("zip"), "c_custkey")
+    zips = (running_scan(raw, ["state"], ["c_custkey"], ordinal="__o")
+            .select("state", (F.col("__o") - 1).alias("ordinal"), "zip"))
+    geo = (c.groupBy(zip_of.alias("zip"), F.col("c_mktsegment").alias("state"))
+           .agg(F.min("c_acctbal").alias("lat"), F.min("c_nationkey").alias("__n"), F.min("c_name").alias("__name"))
+           .filter(F.col("__n") != 7)
+           .select("zip", "state", "lat", F.col("__n").cast("double").alias("lng"),
+                   F.when(F.col("__n") % 4 == 0, F.lit("")).otherwise(F.col("__name")).alias("city")))
+    return catalog, uuids, zips, geo
+
+
+@register("plan_requests", """
+WITH drugs AS (
+  SELECT lpad(CAST(n_nationkey AS VARCHAR), 11, '0') AS procedure_code, n_name AS drug_name, 'care_' || r_name AS uuid,
+         row_number() OVER (ORDER BY n_nationkey) AS d_ord
+  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey <> 4),
+z AS (
+  SELECT c_mktsegment AS state, CAST(c_custkey // 2 AS VARCHAR) AS zip, c_custkey,
+         ntile(3) OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS b
+  FROM customer WHERE c_mktsegment IN ('MACHINERY', 'AUTOMOBILE', 'BUILDING')),
+geo AS (
+  SELECT CAST(c_custkey // 2 AS VARCHAR) AS zip, c_mktsegment AS state, min(c_acctbal) AS lat,
+         CASE WHEN min(c_nationkey) % 4 = 0 THEN '' ELSE min(c_name) END AS city
+  FROM customer GROUP BY 1, 2 HAVING min(c_nationkey) <> 7),
+loc AS (
+  SELECT z.state, z.zip, geo.lat, coalesce(nullif(geo.city, ''), z.state || '_City') AS city,
+         row_number() OVER (ORDER BY CASE z.state WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2 ELSE 3 END,
+                                     z.c_custkey) AS l_ord
+  FROM z JOIN geo ON z.zip = geo.zip AND z.state = geo.state WHERE z.b = 2),
+nl AS (SELECT count(*) AS n FROM loc),
+grid AS (
+  SELECT procedure_code || '_' || zip AS combination_key, (d_ord - 1) * n + l_ord AS position, state,
+         zip AS zip_code, city, procedure_code, uuid, coalesce(nullif(lower(drug_name), ''), 'prescription') AS searchedQuery,
+         CAST(lat AS VARCHAR) AS locationLat
+  FROM drugs CROSS JOIN loc CROSS JOIN nl)
+SELECT combination_key, CAST(min(position) AS BIGINT) AS position, arg_min(state, position) AS state,
+       arg_min(zip_code, position) AS zip_code, arg_min(city, position) AS city,
+       arg_min(procedure_code, position) AS procedure_code, arg_min(uuid, position) AS uuid,
+       arg_min(searchedQuery, position) AS searchedQuery, arg_min(locationLat, position) AS locationLat
+FROM grid GROUP BY combination_key""")
+def q_plan_requests(spark, sf):
+    from coverlens.plans.collection import plan_requests
+
+    catalog, uuids, zips, geo = _domain_inputs(Tables(spark, sf))
+    plan = plan_requests(catalog, uuids, zips, geo, states=["MACHINERY", "AUTOMOBILE", "BUILDING"],
+                         batch_num=2, total_batches=3, state_order=_SEGMENT_ORDER)
+    return plan.select("combination_key", "position", "state", "zip_code", "city", "procedure_code", "uuid",
+                       "searchedQuery", "locationLat")
