@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -10,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_SHUFFLING = re.compile(r"^[\s:+\-|]*(Join|Aggregate|Window|Repartition\w*|RebalancePartitions|Sort)\b", re.M)
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "coverlens") -> SparkSession:
     """Local session with AQE on and the UI off.  On a cluster the caller's session is used as is."""
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
@@ -80,6 +84,12 @@ def ensure_parallelism(df: DataFrame, keys: list[str] | tuple[str, ...] = ()) ->
     """
     if df.isStreaming:
         return df  # micro-batches are sized by the source options instead
+    # A plan that already shuffles comes out with spark.sql.shuffle.partitions
+    # partitions; asking it for its RDD would run its stages under AQE, so it is left
+    # alone.  For a narrow plan over file scans the count is only split planning.
+    tree = df._jdf.queryExecution().optimizedPlan().treeString()
+    if _SHUFFLING.search(tree):
+        return df
     spark = df.sparkSession
     target = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
