@@ -85,11 +85,10 @@ def running_scan(
         keys = ["__g"]
 
     # Measures become plain columns first so the later stages see them by name.
-    staged = df
-    for i, (name, expr) in enumerate(sums.items()):
-        staged = staged.withColumn(f"__s{i}", expr)
-    for i, (name, cond) in enumerate(last_pos_where.items()):
-        staged = staged.withColumn(f"__c{i}", F.coalesce(cond, F.lit(False)))
+    staged = df.withColumns({
+        **{f"__s{i}": expr for i, expr in enumerate(sums.values())},
+        **{f"__c{i}": F.coalesce(cond, F.lit(False)) for i, cond in enumerate(last_pos_where.values())},
+    }) if (sums or last_pos_where) else df
 
     lead = _lead_number(staged, order[0])
     null_bucket = _NULL_LAST_BUCKET if descending else _NULL_FIRST_BUCKET
@@ -130,10 +129,12 @@ def running_scan(
     w_rank = Window.partitionBy(*keys, "__b").orderBy(*sort)
     w_run = w_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = staged.withColumn("__lord", F.row_number().over(w_rank).cast("long"))
-    for i in range(len(sums)):
-        local = local.withColumn(f"__ls{i}", F.sum(f"__s{i}").over(w_run))
-    for i in range(len(last_pos_where)):
-        local = local.withColumn(f"__lp{i}", F.max(F.when(F.col(f"__c{i}"), F.col("__lord"))).over(w_run))
+    if sums or last_pos_where:
+        local = local.withColumns({
+            **{f"__ls{i}": F.sum(f"__s{i}").over(w_run) for i in range(len(sums))},
+            **{f"__lp{i}": F.max(F.when(F.col(f"__c{i}"), F.col("__lord"))).over(w_run)
+               for i in range(len(last_pos_where))},
+        })
 
     # One row per (group, bucket): its size, sums, and last local position per condition.
     summary = local.groupBy(*keys, "__b").agg(
@@ -142,27 +143,27 @@ def running_scan(
         *[F.max(F.when(F.col(f"__c{i}"), F.col("__lord"))).alias(f"__bp{i}") for i in range(len(last_pos_where))],
     )
     w_prev = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = summary.withColumn("__off", F.coalesce(F.sum("__bn").over(w_prev), F.lit(0)).cast("long"))
-    for i in range(len(sums)):
-        offs = offs.withColumn(f"__os{i}", F.sum(f"__bs{i}").over(w_prev))
-    for i in range(len(last_pos_where)):
-        offs = offs.withColumn(f"__op{i}", F.max(F.col("__off") + F.col(f"__bp{i}")).over(w_prev))
-    if group_size:
-        offs = offs.withColumn("__gn", F.sum("__bn").over(Window.partitionBy(*keys)).cast("long"))
+    offs = summary.withColumns({
+        "__off": F.coalesce(F.sum("__bn").over(w_prev), F.lit(0)).cast("long"),
+        **{f"__os{i}": F.sum(f"__bs{i}").over(w_prev) for i in range(len(sums))},
+        **({"__gn": F.sum("__bn").over(Window.partitionBy(*keys)).cast("long")} if group_size else {}),
+    })
+    if last_pos_where:
+        offs = offs.withColumns({f"__op{i}": F.max(F.col("__off") + F.col(f"__bp{i}")).over(w_prev)
+                                 for i in range(len(last_pos_where))})
     offs = offs.drop("__bn", *[f"__bs{i}" for i in range(len(sums))],
                      *[f"__bp{i}" for i in range(len(last_pos_where))])
 
     out = _join_back(local, offs, [*keys, "__b"])
-    out = out.withColumn(ordinal, F.col("__off") + F.col("__lord"))
-    for i, name in enumerate(sums):
-        out = out.withColumn(name, F.col(f"__ls{i}") + F.coalesce(F.col(f"__os{i}"), F.lit(0)))
-    for i, name in enumerate(last_pos_where):
-        out = out.withColumn(name, F.coalesce(F.col("__off") + F.col(f"__lp{i}"), F.col(f"__op{i}")))
-    extra = [ordinal, *sums, *last_pos_where]
+    extra = [(F.col("__off") + F.col("__lord")).alias(ordinal)]
+    extra += [(F.col(f"__ls{i}") + F.coalesce(F.col(f"__os{i}"), F.lit(0))).alias(name) for i, name in enumerate(sums)]
+    extra += [F.coalesce(F.col("__off") + F.col(f"__lp{i}"), F.col(f"__op{i}")).alias(name)
+              for i, name in enumerate(last_pos_where)]
+    names = [ordinal, *sums, *last_pos_where]
     if group_size:
-        out = out.withColumn(group_size, F.col("__gn"))
-        extra.append(group_size)
-    return out.select(*[c for c in base_cols if c not in extra], *extra)
+        extra.append(F.col("__gn").alias(group_size))
+        names.append(group_size)
+    return out.select(*[c for c in base_cols if c not in names], *extra)
 
 
 def _plain_scan(df: DataFrame, base_cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
@@ -173,16 +174,17 @@ def _plain_scan(df: DataFrame, base_cols: Sequence[str], keys: Sequence[str], or
     w = Window.partitionBy(*keys).orderBy(*sort)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # Measures are staged first: an output name may equal a column another measure reads.
-    staged = df
-    for i, expr in enumerate(sums.values()):
-        staged = staged.withColumn(f"__s{i}", expr)
-    for i, cond in enumerate(last_pos_where.values()):
-        staged = staged.withColumn(f"__c{i}", F.coalesce(cond, F.lit(False)))
+    staged = df.withColumns({
+        **{f"__s{i}": expr for i, expr in enumerate(sums.values())},
+        **{f"__c{i}": F.coalesce(cond, F.lit(False)) for i, cond in enumerate(last_pos_where.values())},
+    }) if (sums or last_pos_where) else df
     out = staged.withColumn("__o", F.row_number().over(w).cast("long"))
-    for i in range(len(sums)):
-        out = out.withColumn(f"__rs{i}", F.sum(f"__s{i}").over(run))
-    for i in range(len(last_pos_where)):
-        out = out.withColumn(f"__rp{i}", F.max(F.when(F.col(f"__c{i}"), F.col("__o"))).over(run))
+    if sums or last_pos_where:
+        out = out.withColumns({
+            **{f"__rs{i}": F.sum(f"__s{i}").over(run) for i in range(len(sums))},
+            **{f"__rp{i}": F.max(F.when(F.col(f"__c{i}"), F.col("__o"))).over(run)
+               for i in range(len(last_pos_where))},
+        })
     extra = [F.col("__o").alias(ordinal)]
     extra += [F.col(f"__rs{i}").alias(name) for i, name in enumerate(sums)]
     extra += [F.col(f"__rp{i}").alias(name) for i, name in enumerate(last_pos_where)]
