@@ -12,22 +12,46 @@ from coverlens.operators.ordered import running_scan
 from coverlens.session import ensure_checkpoint_dir
 
 
+MAX_BROADCAST_LOCATIONS = 2_000_000
+
+
+def _first_per_key(df: DataFrame, key: str, ordinal: str) -> DataFrame:
+    """Rows holding the lowest ``ordinal`` of their ``key`` (a mergeable min, then a semi join)."""
+    firsts = df.groupBy(key).agg(F.min(ordinal).alias(ordinal))
+    return df.join(firsts, [key, ordinal], "left_semi")
+
+
 def plan_grid(catalog: DataFrame, cat_order: Sequence[str], locations: DataFrame,
-              loc_order: Sequence[str]) -> DataFrame:
+              loc_order: Sequence[str], cat_key: str | None = None, loc_key: str | None = None,
+              max_broadcast_rows: int = MAX_BROADCAST_LOCATIONS) -> DataFrame:
     """Every catalogue row with every location, with its drug-major position.
 
     No cross join: locations get dense ordinals 1..n, each catalogue row explodes
     ``sequence(1, n)``, and the result equi-joins the locations on the ordinal.  The
-    join key is uniform (each ordinal occurs once per catalogue row), so neither
-    side has to be broadcast and the shuffle is balanced at any size.  ``position``
-    is (catalogue ordinal - 1) * n + location ordinal, the reference's loop order.
+    join key is uniform, so the shuffle is balanced at any size; the location side is
+    broadcast only when its exact row count (it is materialised and counted) is within
+    ``max_broadcast_rows``.  ``position`` is (catalogue ordinal - 1) * n + location
+    ordinal, the reference's loop order.
+
+    With ``cat_key`` / ``loc_key`` only the first cell of each (cat_key, loc_key) pair
+    is produced (W7, first wins): positions are ordered by (catalogue ordinal, location
+    ordinal), so the first cell of a pair is the first catalogue row of its key with
+    the first location of its key.  Each side is reduced on its own, before the
+    product, so the grid itself is never shuffled for it.
     """
-    # The numbered locations are used three times (count, join, statistics); they are
+    spark = locations.sparkSession
+    # The numbered locations are used several times (count, join, statistics); they are
     # written once to the shared checkpoint folder so their lineage is computed once.
-    ensure_checkpoint_dir(locations.sparkSession)
+    ensure_checkpoint_dir(spark)
     locs = running_scan(locations, [], loc_order, ordinal="location_ordinal").checkpoint(eager=True)
     n = locs.count()
     cats = running_scan(catalog, [], cat_order, ordinal="catalog_ordinal")
+    if cat_key:
+        cats = _first_per_key(cats, cat_key, "catalog_ordinal")
+    if loc_key:
+        locs = _first_per_key(locs, loc_key, "location_ordinal")
+    if n <= max_broadcast_rows:
+        locs = F.broadcast(locs)
     spread = cats.withColumn("location_ordinal", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(n).cast("long"))))
     grid = spread.join(locs, "location_ordinal", "inner")
     return grid.withColumn("position", (F.col("catalog_ordinal") - 1) * F.lit(n) + F.col("location_ordinal"))

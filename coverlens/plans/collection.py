@@ -71,10 +71,10 @@ def plan_requests(catalog: DataFrame, uuid_map: DataFrame, zips: DataFrame, geoc
     located, _ = located_zips(zips, geocodes, states, batch_num, total_batches, zip_preview)
     rank = F.array_position(F.array(*[F.lit(s) for s in state_order]), F.col("state"))
     located = located.withColumn("state_rank", F.coalesce(rank, F.lit(len(state_order) + 1)).cast("long"))
+    # First wins per key (W7, D2) is applied to each side before the product.
     grid = pl.plan_grid(drugs, ["ordinal"], located.withColumnRenamed("ordinal", "zip_ordinal"),
-                        ["state_rank", "zip_ordinal"])
-    grid = grid.withColumn("combination_key", combination_key(F.col("procedure_code"), F.col("zip")))
-    firsts = pl.first_wins(grid, "combination_key", "position")
+                        ["state_rank", "zip_ordinal"], cat_key="procedure_code", loc_key="zip")
+    firsts = grid.withColumn("combination_key", combination_key(F.col("procedure_code"), F.col("zip")))
     if ledger is not None:
         firsts = pl.remaining(firsts, ledger, ["combination_key"], status="status", retry_failed=retry_failed)
     return firsts.select(

@@ -62,3 +62,30 @@ def test_analyze_prices(spark):
     groups, summary = analyze_prices(prices)
     assert [tuple(r) for r in groups.collect()] == [("2", "A", "a2")]
     assert tuple(summary.first()) == (1, 1, 1)
+
+
+def test_plan_requests_matches_nested_loop(spark):
+    """Brute force: the reference's drug-major double loop with a completed-key set."""
+    catalog, uuids, zips, geocodes = _tables(spark)
+    # a repeated catalogue code: the earlier catalogue row must win for every zip
+    extra = spark.createDataFrame([(3, "00000000001", "Drug One Again", "Tab", 9)],
+                                  "ordinal long, PROCEDURE_CODE string, DRUG_NAME_WITH_FORM_STRENGTH string, "
+                                  "DOSAGE_FORM string, CLAIM_COUNT long").withColumn("TOTAL_BENEFIT_AMOUNT", F.lit(" 1 "))
+    catalog = catalog.unionByName(extra)
+    got = {(r.position, r.combination_key, r.state, r.drug_name)
+           for r in plan_requests(catalog, uuids, zips, geocodes).collect()}
+    uu = {r.procedure_code: r.care_uuid for r in uuids.collect()}
+    drugs = [r for r in catalog.orderBy("ordinal").collect() if uu.get(r.PROCEDURE_CODE)]
+    geo = {(r.zip, r.state) for r in geocodes.collect()}
+    locs = [r for r in zips.orderBy(F.expr("array_position(array('FL','GA','OH'), state)"), "ordinal").collect()
+            if (r.zip, r.state) in geo]
+    done, expect, pos = set(), set(), 0
+    for d in drugs:
+        for z in locs:
+            pos += 1
+            key = f"{d.PROCEDURE_CODE}_{z.zip}"
+            if key in done:
+                continue
+            done.add(key)
+            expect.add((pos, key, z.state, d.DRUG_NAME_WITH_FORM_STRENGTH))
+    assert got == expect
