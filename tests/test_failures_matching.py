@@ -67,11 +67,11 @@ def test_code_match(spark):
         "ordinal long, PROCEDURE_CODE string, name string")
     prices = spark.createDataFrame(
         [(0, "12345678", 1.5), (1, "02771559", 2.5), (2, "2771559", 9.9), (3, None, 3.0),
-         (4, "1234567890123", 4.0), (5, "173088710", 5.0)], "ordinal long, sidecarCode string, averageUnitPrice double")
-    m = mt.match_codes(prices, "sidecarCode", {"excel_avg_unit_price": "averageUnitPrice"}, ["ordinal"],
+         (4, "1234567890123", 4.0), (5, "173088710", 5.0)], "ordinal long, price_code string, average_unit_price double")
+    m = mt.match_codes(prices, "price_code", {"excel_avg_unit_price": "average_unit_price"}, ["ordinal"],
                        catalog, "PROCEDURE_CODE", {"csv_drug_name": "name"}, ["ordinal"])
     got = [tuple(r) for r in m.orderBy("code").collect()]
     # sorted as text: '173088710' < '2771559'; first price row wins for the repeated code
     assert got == [("12345678", 1.5, "Drug 1"), ("173088710", 5.0, "Drug 3"), ("2771559", 2.5, "Drug 2")]
-    s = mt.code_match_summary(prices, "sidecarCode", catalog, "PROCEDURE_CODE").first()
+    s = mt.code_match_summary(prices, "price_code", catalog, "PROCEDURE_CODE").first()
     assert (s.n_left, s.n_right, s.n_both) == (4, 4, 3)
