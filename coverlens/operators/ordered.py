@@ -31,12 +31,26 @@ _NULL_FIRST_BUCKET = -1
 _NULL_LAST_BUCKET = (1 << 62)
 
 
+def micros_ntz(c: Column) -> Column:
+    """Microseconds of a TIMESTAMP_NTZ since 1970-01-01, independent of the session time zone.
+
+    Casting to TIMESTAMP would pass through the session zone and is not monotone
+    across a daylight-saving gap.
+    """
+    day = F.unix_date(c.cast("date")).cast("long")
+    sec = F.date_part(F.lit("SECOND"), c)  # seconds with the fraction, decimal(8,6)
+    return (day * 86_400_000_000 + F.hour(c).cast("long") * 3_600_000_000
+            + F.minute(c).cast("long") * 60_000_000 + (sec * 1_000_000).cast("long"))
+
+
 def _lead_number(df: DataFrame, col: str) -> Column | None:
     """Numeric image of the leading order key, monotone in its order; None if not bucketable."""
     dtype = df.schema[col].dataType
     c = F.col(col)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):
+        return micros_ntz(c).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c).cast("double")
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("double")
     if isinstance(dtype, T.NumericType):
