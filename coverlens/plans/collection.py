@@ -85,7 +85,7 @@ def plan_requests(catalog: DataFrame, uuid_map: DataFrame, zips: DataFrame, geoc
         F.expr("uuid()").alias("intentCallId"))
 
 
-def analyze_prices(prices: DataFrame, order: str = "ordinal") -> tuple[DataFrame, DataFrame]:
+def analyze_prices(prices: DataFrame, order: str | Sequence[str] = "ordinal") -> tuple[DataFrame, DataFrame]:
     """(zip/code groups with no favourable pharmacy, summary); ``order`` is the fact's row order."""
     groups = cov.no_favorable(prices, ["zip_code", "procedure_code"], "estimated_member_responsibility",
                               ["drug_name"], order)

@@ -89,3 +89,27 @@ def test_plan_requests_matches_nested_loop(spark):
             done.add(key)
             expect.add((pos, key, z.state, d.DRUG_NAME_WITH_FORM_STRENGTH))
     assert got == expect
+
+
+def test_extract_then_analyze_in_fact_order(spark):
+    """Plan -> landed responses -> fact with its row order -> no-favourable groups (the whole chain)."""
+    from coverlens.operators.responses import extract_prices
+
+    catalog, uuids, zips, geocodes = _tables(spark)
+    plan = plan_requests(catalog, uuids, zips, geocodes, states=["OH"])
+    keys = sorted(r.combination_key for r in plan.collect())
+    bodies = []
+    for i, k in enumerate(keys):
+        # first pharmacy of every response is unfavourable; the second one only for even responses
+        second = 0.0 if i % 2 else 5.0
+        bodies.append((k, i, f'{{"pharmacies": [{{"name": "first-{i}", "careEstimateResult": '
+                             f'{{"estimatedMemberResponsibility": 7}}}}, {{"name": "second-{i}", "careEstimateResult": '
+                             f'{{"estimatedMemberResponsibility": {second}}}}}]}}'))
+    resp = spark.createDataFrame(bodies, "combination_key string, seq long, body string")
+    fact = extract_prices(resp, plan, carry=["seq"], position="pharmacy_pos")
+    assert fact.count() == 2 * len(keys)
+    groups, summary = analyze_prices(fact, order=["seq", "pharmacy_pos"])
+    got = {(r.zip_code, r.procedure_code) for r in groups.collect()}
+    expect = {tuple(k.split("_")[::-1]) for i, k in enumerate(keys) if i % 2 == 0}
+    assert got == expect
+    assert summary.first().n == len(expect)
