@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coverlens.session import is_derived, materialize
+
 DEFAULT_BUCKET_ROWS = 1 << 20
 
 _NULL_FIRST_BUCKET = -1
@@ -77,6 +79,7 @@ def running_scan(
     last_pos_where: Mapping[str, Column] | None = None,
     group_size: str | None = None,
     target_rows: int | None = None,
+    materialize_input: bool | None = None,
 ) -> DataFrame:
     """Add running values over ``order`` within each ``by`` group (empty ``by`` = whole table).
 
@@ -85,6 +88,10 @@ def running_scan(
     inclusive sum).  ``last_pos_where`` maps output name -> boolean expression; the
     output is the ordinal of the last row up to and including this one where it held
     (null when none).  ``group_size`` names an optional column with the group's row count.
+
+    The input is read twice (statistics, then windows).  A derived input (its plan
+    shuffles) is therefore checkpointed once first, unless ``materialize_input`` says
+    otherwise; a plain scan is read twice, the statistics pass pruned to two columns.
     """
     if not order:
         raise ValueError("running_scan needs an explicit order")
@@ -92,6 +99,10 @@ def running_scan(
     last_pos_where = dict(last_pos_where or {})
     target = int(target_rows or df.sparkSession.conf.get("coverlens.scan.bucketRows", str(DEFAULT_BUCKET_ROWS)))
 
+    if materialize_input is None:
+        materialize_input = is_derived(df)
+    if materialize_input:
+        df = materialize(df)
     base_cols = df.columns
     keys = list(by)
     if not keys:

@@ -62,15 +62,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
             work_dir(spark, "init")
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """Broadcast hint for ``df`` only when it provably holds at most ``max_rows`` rows.
+def is_derived(df: DataFrame) -> bool:
+    """True when the plan shuffles (joins, aggregates, windows): recomputing it costs its upstream again."""
+    return bool(_SHUFFLING.search(df._jdf.queryExecution().optimizedPlan().treeString()))
 
-    The check reads at most ``max_rows + 1`` rows, so it costs little even when the
-    side is large.  Returns None when the bound is exceeded; callers then use a
-    shuffle-based plan instead.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else None
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared checkpoint folder: computed once, lineage cut."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def ensure_parallelism(df: DataFrame, keys: list[str] | tuple[str, ...] = ()) -> DataFrame:
@@ -87,8 +87,7 @@ def ensure_parallelism(df: DataFrame, keys: list[str] | tuple[str, ...] = ()) ->
     # A plan that already shuffles comes out with spark.sql.shuffle.partitions
     # partitions; asking it for its RDD would run its stages under AQE, so it is left
     # alone.  For a narrow plan over file scans the count is only split planning.
-    tree = df._jdf.queryExecution().optimizedPlan().treeString()
-    if _SHUFFLING.search(tree):
+    if is_derived(df):
         return df
     spark = df.sparkSession
     target = spark.sparkContext.defaultParallelism
