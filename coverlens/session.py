@@ -8,7 +8,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 _SHUFFLING = re.compile(r"^[\s:+\-|]*(Join|Aggregate|Window|Repartition\w*|RebalancePartitions|Sort)\b", re.M)
@@ -29,6 +28,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
