@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from coverlens.session import is_derived, materialize
 
 DEFAULT_BUCKET_ROWS = 1 << 20
+GLOBAL_SPLIT_ROWS = 10_000
 
 _NULL_FIRST_BUCKET = -1
 _NULL_LAST_BUCKET = (1 << 62)
@@ -126,7 +127,12 @@ def running_scan(
             # Whole-table order: the three statistics are one tiny aggregate, used as literals.
             st = staged.agg(F.min("__k").alias("lo"), F.max("__k").alias("hi"), F.count(F.lit(1)).alias("n")).first()
             lo, hi, n = st["lo"], st["hi"], st["n"]
-            width = (hi - lo) / -(-n // target) if (n > target and hi is not None and hi > lo) else None
+            # A whole-table order has no group keys to spread it, so from a modest size on
+            # it is cut into at least as many buckets as the cluster runs tasks at once.
+            nb = -(-n // target)
+            if n >= GLOBAL_SPLIT_ROWS:
+                nb = max(nb, df.sparkSession.sparkContext.defaultParallelism)
+            width = (hi - lo) / nb if (nb > 1 and hi is not None and hi > lo) else None
             if width is None:
                 return _plain_scan(df, base_cols, keys, order, descending, ordinal, sums, last_pos_where, group_size)
             staged = staged.withColumn("__lo", F.lit(lo).cast("double")).withColumn(
