@@ -327,7 +327,7 @@ def q_option_json(spark, sf):
     ddl = "pharmacies array<struct<name: string>>, form " + OPTION_DDL["form"]
     parsed = resp.select("o_orderkey", rs.parse_body(F.col("body"), ddl).alias("r"))
     return (parsed.filter(F.size(F.col("r.pharmacies")) > 0)
-            .selectExpr("o_orderkey", f"{rs._json_sql(rs._options_sql('`r`.`form`', 'form'))} AS form_options"))
+            .selectExpr("o_orderkey", f"{rs.json_sql(rs.options_sql('`r`.`form`', 'form'))} AS form_options"))
 
 
 # ---------------------------------------------------------------- coverage: P2, P3, A1-A4

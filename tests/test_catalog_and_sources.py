@@ -92,3 +92,12 @@ def test_reconcile_copy(spark, tmp):
     df = spark.createDataFrame([(1, "a,b"), (2, 'q"uote')], "i int, s string")
     r = sinks.reconcile_copy(df, os.path.join(tmp, "copy"), "csv").first()
     assert (r.n_src, r.n_dst, r.n_cols_src, r.n_cols_dst, r.ok) == (2, 2, 2, 2, True)
+
+
+def test_line_numbers_restart_per_file(spark, tmp):
+    d = os.path.join(tmp, "logs")
+    os.makedirs(d)
+    open(os.path.join(d, "a.log"), "w").write("a1\na2\na3\n")
+    open(os.path.join(d, "b.log"), "w").write("b1\nb2\n")
+    got = sorted((r.file_name, r.line_no, r.value) for r in readers.read_lines(spark, d).collect())
+    assert got == [("a.log", 1, "a1"), ("a.log", 2, "a2"), ("a.log", 3, "a3"), ("b.log", 1, "b1"), ("b.log", 2, "b2")]
