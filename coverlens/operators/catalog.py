@@ -77,4 +77,5 @@ def first_hit(hits: DataFrame, key: Sequence[str] | str, rank: Sequence[str] | s
     """The best-ranked hit per key (L4), a mergeable ``min_by`` aggregate."""
     key = [key] if isinstance(key, str) else list(key)
     rank = [rank] if isinstance(rank, str) else list(rank)
-    return hits.groupBy(*key).agg(F.min_by(F.col(value), F.struct(*rank)).alias(out))
+    order = F.col(rank[0]) if len(rank) == 1 else F.struct(*rank)
+    return hits.groupBy(*key).agg(F.min_by(F.col(value), order).alias(out))

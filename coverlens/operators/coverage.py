@@ -36,12 +36,17 @@ def no_favorable(prices: DataFrame, keys: Sequence[str], measure: str, carry: Se
     if missing_is_favorable:
         fav = fav | m.isNull()
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    first = F.min_by(F.struct(*[F.col(c) for c in carry]), F.struct(*[F.col(c) for c in order]))
+    if len(carry) == 1 and len(order) == 1:
+        # No struct wrapping: a fixed-width value and order keep the hash aggregate.
+        first, pick = F.min_by(F.col(carry[0]), F.col(order[0])), [F.col("__first").alias(carry[0])]
+    else:
+        first = F.min_by(F.struct(*[F.col(c) for c in carry]), F.struct(*[F.col(c) for c in order]))
+        pick = [F.col("__first")[c].alias(c) for c in carry]
     out = (prices.filter(not_null)
            .groupBy(*keys)
            .agg(F.bool_or(fav).alias("__any"), first.alias("__first"))
            .filter(~F.col("__any")))
-    return out.select(*keys, *[F.col("__first")[c].alias(c) for c in carry])
+    return out.select(*keys, *pick)
 
 
 def no_favorable_summary(groups: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -34,6 +34,10 @@ def match_codes(left: DataFrame, left_code: str, left_carry: dict[str, str], lef
     """
     def first(df, code, carry, order):
         k = _keyed(df, code)
+        if len(carry) == 1 and len(order) == 1:
+            # No struct wrapping: a fixed-width value and order keep the hash aggregate.
+            (out, src), = carry.items()
+            return k.groupBy("__key").agg(F.min_by(F.col(src), F.col(order[0])).alias(out))
         pick = F.min_by(F.struct(*[F.col(src).alias(out) for out, src in carry.items()]),
                         F.struct(*[F.col(c) for c in order]))
         return k.groupBy("__key").agg(pick.alias("__v")).select("__key", "__v.*")

@@ -71,6 +71,9 @@ def first_wins(df: DataFrame, key: Sequence[str] | str, order: Sequence[str] | s
     key = [key] if isinstance(key, str) else list(key)
     order = [order] if isinstance(order, str) else list(order)
     rest = [c for c in df.columns if c not in key]
+    if len(rest) == 1 and len(order) == 1:
+        # No struct wrapping: a fixed-width value and order keep the hash aggregate.
+        return df.groupBy(*key).agg(F.min_by(F.col(rest[0]), F.col(order[0])).alias(rest[0]))
     pick = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order]))
     return df.groupBy(*key).agg(pick.alias("__r")).select(*key, "__r.*")
 
