@@ -58,6 +58,12 @@ def _lead_number(df: DataFrame, col: str) -> Column | None:
         return F.unix_date(c).cast("double")
     if isinstance(dtype, T.NumericType):
         return c.cast("double")
+    if isinstance(dtype, T.StringType):
+        # First 6 UTF-8 bytes as an unsigned big-endian number, short strings padded with
+        # zero bytes: never decreasing in Spark's binary string order.  Strings sharing a
+        # prefix share a bucket, which keeps the buckets contiguous ranges.
+        prefix = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(prefix, 16, 10).cast("double")
     return None
 
 

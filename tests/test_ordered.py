@@ -71,3 +71,17 @@ def test_ntile_start_and_reference_batches(spark):
     df = spark.createDataFrame([(955,), (948,), (608,)], "n long")
     got = df.select("n", ntile_start(2, F.col("n"), 2).alias("s2")).collect()
     assert {r.n: r.s2 for r in got} == {955: 478, 948: 474, 608: 304}
+
+
+def test_running_scan_text_order_key(spark):
+    import random
+    rnd = random.Random(11)
+    words = ["", "a", "ab", "abc", "abcdefgh", "abcdefgz", "b", "Z", "é", "ü", "zz", None]
+    rows = [(i, rnd.choice(["g1", "g2"]), rnd.choice(words)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, g string, name string")
+    for desc in (False, True):
+        out = running_scan(df, ["g"], ["name", "id"], descending=desc, target_rows=9)
+        sort = [F.col("name").desc(), F.col("id").desc()] if desc else [F.col("name"), F.col("id")]
+        ref = df.withColumn("ordinal", F.row_number().over(W.partitionBy("g").orderBy(*sort)).cast("long"))
+        a, b = out.select("id", "ordinal"), ref.select("id", "ordinal")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
