@@ -34,7 +34,7 @@ def resolved_catalog(catalog: DataFrame, uuid_map: DataFrame, preview: int | Non
         F.col("TOTAL_BENEFIT_AMOUNT").alias("total_benefit_amount"), F.col("CLAIM_COUNT").alias("claim_count"),
         "ordinal")
     rejected = cat.rejects(c, "procedure_code", uuid_map, "procedure_code", "care_uuid")
-    rejected = cat.number_rows(rejected.withColumn("__all", F.lit(1)), ["__all"], ["ordinal"], "n").drop("__all")
+    rejected = cat.number_rows(rejected, [], ["ordinal"], "n")
     return drugs, rejected.select("n", "procedure_code", F.col("DRUG_NAME_WITH_FORM_STRENGTH").alias("drug_name"))
 
 
