@@ -95,3 +95,18 @@ def analyze_prices(prices: DataFrame, order: str | Sequence[str] = "ordinal") ->
 def number_in_file_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Global 0-based ``ordinal`` in ``order`` (for inputs that carry their own order columns)."""
     return running_scan(df, [], order, ordinal="__o").withColumn("ordinal", F.col("__o") - 1).drop("__o")
+
+
+def enrich_catalog(catalog: DataFrame, uuid_map: DataFrame, code: str = "PROCEDURE_CODE",
+                   map_code: str = "procedure_code", map_value: str = "care_uuid") -> tuple[DataFrame, DataFrame]:
+    """(every catalogue row with CARE_UUID, lookup metrics): the catalogue enrichment job."""
+    enriched = cat.enrich(catalog, code, uuid_map, map_code, map_value, "CARE_UUID")
+    return enriched, cat.lookup_metrics(enriched, "CARE_UUID")
+
+
+def parse_failures(lines: DataFrame, value: str = "value", line_no: str = "line_no") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(distinct failed zip/drug pairs in first-seen order, unparsed lines, summary): the log-mining job."""
+    from coverlens.operators import failures as fl
+
+    scanned = fl.scan_failure_lines(lines, value, line_no)
+    return fl.failures_distinct(fl.failures(scanned)), fl.unparsed(scanned), fl.log_summary(scanned)

@@ -113,3 +113,20 @@ def test_extract_then_analyze_in_fact_order(spark):
     expect = {tuple(k.split("_")[::-1]) for i, k in enumerate(keys) if i % 2 == 0}
     assert got == expect
     assert summary.first().n == len(expect)
+
+
+def test_enrich_catalog_and_parse_failures(spark):
+    from coverlens.plans.collection import enrich_catalog, parse_failures
+
+    catalog, uuids, _, _ = _tables(spark)
+    enriched, metrics = enrich_catalog(catalog, uuids)
+    assert enriched.count() == 3 and tuple(metrics.first())[:3] == (3, 2, 1)
+    lines = spark.createDataFrame(
+        [(1, "x - ERROR - ❌ Failed to get data for A in 1 (Total failures: 1, Consecutive: 1)"),
+         (2, "x - ERROR - ❌ Failed to get data for A in 1 (Total failures: 2, Consecutive: 2)"),
+         (3, "x - ERROR - ❌ Failed to get data for B in 2 (Total failures: 3)"), (4, "x - INFO - ok")],
+        "line_no long, value string")
+    pairs, bad, summary = parse_failures(lines)
+    assert [(r.zipcode, r.drug_name, r.first_seen) for r in pairs.collect()] == [("1", "A", 1)]
+    assert [r.line_no for r in bad.collect()] == [3]
+    assert tuple(summary.first()) == (3, 1, 1, 1)
