@@ -29,6 +29,7 @@ from coverlens.session import is_derived, materialize
 
 DEFAULT_BUCKET_ROWS = 1 << 20
 GLOBAL_SPLIT_ROWS = 10_000
+MAX_BROADCAST_ROWS = 2_000_000
 
 _NULL_FIRST_BUCKET = -1
 _NULL_LAST_BUCKET = (1 << 62)
@@ -125,7 +126,8 @@ def running_scan(
     lead = _lead_number(staged, order[0])
     null_bucket = _NULL_LAST_BUCKET if descending else _NULL_FIRST_BUCKET
     if lead is None:
-        staged = staged.withColumn("__b", F.lit(0).cast("long"))
+        # Not bucketable: one bucket per group is exactly a window per group.
+        return _plain_scan(df, base_cols, keys, order, descending, ordinal, sums, last_pos_where, group_size)
     else:
         key = (-lead) if descending else lead
         staged = staged.withColumn("__k", key)
@@ -139,6 +141,7 @@ def running_scan(
             if n >= GLOBAL_SPLIT_ROWS:
                 nb = max(nb, df.sparkSession.sparkContext.defaultParallelism)
             width = (hi - lo) / nb if (nb > 1 and hi is not None and hi > lo) else None
+            small_groups, small_buckets = True, nb + 2 <= MAX_BROADCAST_ROWS
             if width is None:
                 return _plain_scan(df, base_cols, keys, order, descending, ordinal, sums, last_pos_where, group_size)
             staged = staged.withColumn("__lo", F.lit(lo).cast("double")).withColumn(
@@ -147,13 +150,21 @@ def running_scan(
             stats = staged.groupBy(*keys).agg(
                 F.min("__k").alias("__lo"), F.max("__k").alias("__hi"), F.count(F.lit(1)).alias("__n"))
             nb = F.ceil(F.col("__n") / F.lit(target))
-            stats = stats.select(*keys, "__lo", F.when((F.col("__n") > target) & (F.col("__hi") > F.col("__lo")),
-                                                       (F.col("__hi") - F.col("__lo")) / nb).alias("__w"))
+            stats = stats.select(*keys, "__lo", "__n", F.when((F.col("__n") > target) & (F.col("__hi") > F.col("__lo")),
+                                                              (F.col("__hi") - F.col("__lo")) / nb).alias("__w"))
             # Runtime decision, as AQE makes for joins: when no group is larger than one
             # bucket, a window per group is already bounded and needs no second level.
-            if stats.filter(F.col("__w").isNotNull()).limit(1).count() == 0:
+            chk = stats.agg(F.count(F.lit(1)).alias("groups"), F.count("__w").alias("split"),
+                            F.sum("__n").alias("rows")).first()
+            if chk["split"] == 0:
                 return _plain_scan(df, base_cols, keys, order, descending, ordinal, sums, last_pos_where, group_size)
-            staged = _join_back(staged, stats, keys)
+            # The statistics (one row per group) and the offsets (one row per bucket, at most
+            # rows/target + 2 per group) have exact bounds now: broadcast them under the
+            # bound, so the large side is not shuffled by group key; beyond it AQE decides.
+            small_groups = chk["groups"] <= MAX_BROADCAST_ROWS
+            small_buckets = chk["rows"] // target + 2 * chk["groups"] <= MAX_BROADCAST_ROWS
+            stats = stats.drop("__n")
+            staged = _join_back(staged, F.broadcast(stats) if small_groups else stats, keys)
         staged = staged.withColumn(
             "__b",
             F.when(F.col("__k").isNull(), F.lit(null_bucket))
@@ -191,7 +202,7 @@ def running_scan(
     offs = offs.drop("__bn", *[f"__bs{i}" for i in range(len(sums))],
                      *[f"__bp{i}" for i in range(len(last_pos_where))])
 
-    out = _join_back(local, offs, [*keys, "__b"])
+    out = _join_back(local, F.broadcast(offs) if small_buckets else offs, [*keys, "__b"])
     extra = [(F.col("__off") + F.col("__lord")).alias(ordinal)]
     extra += [(F.col(f"__ls{i}") + F.coalesce(F.col(f"__os{i}"), F.lit(0))).alias(name) for i, name in enumerate(sums)]
     extra += [F.coalesce(F.col("__off") + F.col(f"__lp{i}"), F.col(f"__op{i}")).alias(name)
