@@ -131,30 +131,44 @@ def running_scan(
     else:
         key = (-lead) if descending else lead
         staged = staged.withColumn("__k", key)
+        # When the leading value is one constant in a group, the next order column orders
+        # it, so its value ranges are the buckets there.
+        lead2 = _lead_number(staged, order[1]) if len(order) > 1 else None
+        staged = staged.withColumn("__k2", ((-lead2) if descending else lead2) if lead2 is not None
+                                   else F.lit(None).cast("double"))
         if not by:
             # Whole-table order: the three statistics are one tiny aggregate, used as literals.
-            st = staged.agg(F.min("__k").alias("lo"), F.max("__k").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-            lo, hi, n = st["lo"], st["hi"], st["n"]
+            st = staged.agg(F.min("__k").alias("lo"), F.max("__k").alias("hi"), F.count(F.lit(1)).alias("n"),
+                            F.min("__k2").alias("lo2"), F.max("__k2").alias("hi2")).first()
+            lo, hi, n, lo2, hi2 = st["lo"], st["hi"], st["n"], st["lo2"], st["hi2"]
             # A whole-table order has no group keys to spread it, so from a modest size on
             # it is cut into at least as many buckets as the cluster runs tasks at once.
             nb = -(-n // target)
             if n >= GLOBAL_SPLIT_ROWS:
                 nb = max(nb, df.sparkSession.sparkContext.defaultParallelism)
             width = (hi - lo) / nb if (nb > 1 and hi is not None and hi > lo) else None
+            width2 = ((hi2 - lo2) / nb if (width is None and nb > 1 and hi is not None and hi == lo
+                                           and hi2 is not None and hi2 > lo2) else None)
             small_groups, small_buckets = True, nb + 2 <= MAX_BROADCAST_ROWS
-            if width is None:
+            if width is None and width2 is None:
                 return _plain_scan(df, base_cols, keys, order, descending, ordinal, sums, last_pos_where, group_size)
-            staged = staged.withColumn("__lo", F.lit(lo).cast("double")).withColumn(
-                "__w", F.lit(width).cast("double"))
+            staged = staged.withColumns({"__lo": F.lit(lo).cast("double"), "__w": F.lit(width).cast("double"),
+                                         "__lo2": F.lit(lo2).cast("double"), "__w2": F.lit(width2).cast("double")})
         else:
             stats = staged.groupBy(*keys).agg(
-                F.min("__k").alias("__lo"), F.max("__k").alias("__hi"), F.count(F.lit(1)).alias("__n"))
+                F.min("__k").alias("__lo"), F.max("__k").alias("__hi"), F.count(F.lit(1)).alias("__n"),
+                F.min("__k2").alias("__lo2"), F.max("__k2").alias("__hi2"))
             nb = F.ceil(F.col("__n") / F.lit(target))
-            stats = stats.select(*keys, "__lo", "__n", F.when((F.col("__n") > target) & (F.col("__hi") > F.col("__lo")),
-                                                              (F.col("__hi") - F.col("__lo")) / nb).alias("__w"))
+            big = F.col("__n") > target
+            stats = stats.select(
+                *keys, "__lo", "__n", "__lo2",
+                F.when(big & (F.col("__hi") > F.col("__lo")), (F.col("__hi") - F.col("__lo")) / nb).alias("__w"),
+                F.when(big & (F.col("__hi") == F.col("__lo")) & (F.col("__hi2") > F.col("__lo2")),
+                       (F.col("__hi2") - F.col("__lo2")) / nb).alias("__w2"))
             # Runtime decision, as AQE makes for joins: when no group is larger than one
             # bucket, a window per group is already bounded and needs no second level.
-            chk = stats.agg(F.count(F.lit(1)).alias("groups"), F.count("__w").alias("split"),
+            chk = stats.agg(F.count(F.lit(1)).alias("groups"),
+                            F.count_if(F.col("__w").isNotNull() | F.col("__w2").isNotNull()).alias("split"),
                             F.sum("__n").alias("rows")).first()
             if chk["split"] == 0:
                 return _plain_scan(df, base_cols, keys, order, descending, ordinal, sums, last_pos_where, group_size)
@@ -168,10 +182,12 @@ def running_scan(
         staged = staged.withColumn(
             "__b",
             F.when(F.col("__k").isNull(), F.lit(null_bucket))
-            .when(F.col("__w").isNull(), F.lit(0))
-            .otherwise(F.floor((F.col("__k") - F.col("__lo")) / F.col("__w")))
+            .when(F.col("__w").isNotNull(), F.floor((F.col("__k") - F.col("__lo")) / F.col("__w")))
+            .when(F.col("__w2").isNull(), F.lit(0))
+            .when(F.col("__k2").isNull(), F.lit(null_bucket))
+            .otherwise(F.floor((F.col("__k2") - F.col("__lo2")) / F.col("__w2")))
             .cast("long"),
-        ).drop("__k", "__lo", "__w")
+        ).drop("__k", "__lo", "__w", "__k2", "__lo2", "__w2")
 
     sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     w_rank = Window.partitionBy(*keys, "__b").orderBy(*sort)

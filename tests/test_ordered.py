@@ -85,3 +85,37 @@ def test_running_scan_text_order_key(spark):
         ref = df.withColumn("ordinal", F.row_number().over(W.partitionBy("g").orderBy(*sort)).cast("long"))
         a, b = out.select("id", "ordinal"), ref.select("id", "ordinal")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_running_scan_constant_lead_hot_group(spark):
+    """A hot group whose first order value is constant is cut by the second order column."""
+    import random
+    rnd = random.Random(5)
+    rows = [(i, "hot" if i % 3 else "cold", 7 if i % 3 else rnd.randint(0, 9),
+             None if i % 17 == 0 else rnd.randint(0, 500), rnd.random() < 0.4) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, g string, t long, u long, bad boolean")
+    for desc in (False, True):
+        for by in (["g"], []):
+            out = running_scan(df, by, ["t", "u", "id"], descending=desc, target_rows=11,
+                               sums={"nb": F.col("bad").cast("long")})
+            sort = [F.col(c).desc() if desc else F.col(c).asc() for c in ("t", "u", "id")]
+            w = W.partitionBy(*by).orderBy(*sort) if by else W.orderBy(*sort)
+            ref = (df.withColumn("ordinal", F.row_number().over(w).cast("long"))
+                   .withColumn("nb", F.sum(F.col("bad").cast("long")).over(w.rowsBetween(W.unboundedPreceding, 0))))
+            a, b = out.select("id", "ordinal", "nb"), ref.select("id", "ordinal", "nb")
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_running_scan_constant_lead_whole_table(spark):
+    rows = [(i, 3, None if i % 13 == 0 else (i * 37) % 101) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, t long, u long")
+    spark.conf.set("coverlens.scan.bucketRows", "10")
+    try:
+        for desc in (False, True):
+            out = running_scan(df, [], ["t", "u", "id"], descending=desc)
+            sort = [F.col(c).desc() if desc else F.col(c).asc() for c in ("t", "u", "id")]
+            ref = df.withColumn("ordinal", F.row_number().over(W.orderBy(*sort)).cast("long"))
+            a, b = out.select("id", "ordinal"), ref.select("id", "ordinal")
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    finally:
+        spark.conf.unset("coverlens.scan.bucketRows")
