@@ -6,15 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlens.llm import chat_format, mixing, url_filter
+from coverlens.llm import (
+    chat_format,
+    decontaminate,
+    embedding_dedup,
+    html_extract,
+    language_id,
+    mixing,
+    ngram_join,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_filter.op1_url_filters,
     "op2_chat_format": chat_format.op2_chat_format,
     "op3_mix_sources": mixing.op3_mix_sources,
+    "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
+    "op7_language_id": language_id.op7_language_id,
+    "op8_ngram_jaccard": ngram_join.op8_ngram_jaccard,
+    "op9_html_extract": html_extract.op9_html_extract,
+    "op10_decontamination": decontaminate.op10_decontamination,
 }
 
+#: Queries whose rows SQL can state; the others are tested against brute force in tests/llm.
 ORACLES: dict[str, str] = {
     "op1_url_filters": url_filter.OP1_SQL,
     "op2_chat_format": chat_format.OP2_SQL,
+    "op10_decontamination": decontaminate.OP10_SQL,
 }

@@ -143,11 +143,12 @@ def gram_hashes(words: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarr
     whole = np.ones(out[-1], bool)
     whole[out[short]] = False
     grams[whole] = h[pos[whole]]
-    for i in short:
-        x = U(size[i])
-        for j, w in enumerate(words[bounds[i]:bounds[i + 1]]):
-            x = (x ^ (x >> U(29))) + w * _STEP[j % 16]
-        grams[out[i]] = mix(np.array([x], np.uint64))[0]
+    for k in range(1, n):
+        at = short[size[short] == k]
+        x = np.full(len(at), U(k))
+        for j in range(k):
+            x = (x ^ (x >> U(29))) + words[bounds[at] + j] * _STEP[j % 16]
+        grams[out[at]] = mix(x)
     return grams, out
 
 
