@@ -12,6 +12,7 @@ from coverlens.llm import (
     embedding_dedup,
     html_extract,
     language_id,
+    line_dedup,
     mixing,
     ngram_join,
     url_filter,
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": chat_format.op2_chat_format,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
+    "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_language_id": language_id.op7_language_id,
     "op8_ngram_jaccard": ngram_join.op8_ngram_jaccard,
     "op9_html_extract": html_extract.op9_html_extract,
@@ -32,5 +34,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_url_filters": url_filter.OP1_SQL,
     "op2_chat_format": chat_format.OP2_SQL,
+    "op6_line_dedup": line_dedup.OP6_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,
 }
