@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +20,10 @@ def save(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def free_name(columns: Iterable[str], wanted: str) -> str:
-    """``wanted``, with underscores added until no column of the input has that name (case is ignored)."""
-    taken = {c.lower() for c in columns}
-    while wanted.lower() in taken:
+def free_prefix(columns: Iterable[str], wanted: str) -> str:
+    """``wanted``, with underscores added until no column of the input begins with it (case is ignored)."""
+    taken = [c.lower() for c in columns]
+    while any(c.startswith(wanted.lower()) for c in taken):
         wanted += "_"
     return wanted
 
@@ -62,7 +62,3 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                 e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         before = now
     raise RuntimeError("connected components did not settle")
-
-
-def same(a: Sequence[str], b: Sequence[str]) -> bool:
-    return [x.lower() for x in a] == [x.lower() for x in b]

@@ -111,17 +111,17 @@ def search(words: np.ndarray, p: PatternSet) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _item_sets(benchmark: DataFrame, id_col: str, text_col: str, set_words: int) -> Iterator[list[tuple]]:
-    """The benchmark's items, some at a time, each set within ``set_words`` words (or one longer item)."""
+    """The benchmark's items, some at a time, each set within ``set_words`` words (or one longer item); one set at least."""
     rows = benchmark.select(quoted(id_col).cast("string").alias("id"), quoted(text_col).alias("text")).dropna(subset=["text"])
-    items, size = [], 0
+    items, size, any_set = [], 0, False
     for r in rows.toLocalIterator():
         w, _ = word_hashes([r.text.encode("utf-8", "surrogatepass")], ALNUM)
         if items and size + len(w) > set_words:
             yield items
-            items, size = [], 0
+            items, size, any_set = [], 0, True
         items.append((r.id, w))
         size += len(w)
-    if items:
+    if items or not any_set:
         yield items
 
 

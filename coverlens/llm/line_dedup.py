@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coverlens.llm.common import free_name, quoted, save
+from coverlens.llm.common import free_prefix, quoted, save
 
 GRAM = 5
 PERCENT = 80
@@ -164,7 +164,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A document whose words are all removed goes; one that had none stays as it is.
     """
-    t = free_name(docs.columns, "ld_")
+    t = free_prefix(docs.columns, "ld_")
     cut = removed_lines(docs, id_col=id_col, text_col=text_col, **options).select(
         F.col("doc_id").alias(t + "id"), F.col("thash").alias(t + "hash"), F.col("gone").alias(t + "gone"))
     rows = docs.join(cut, quoted(id_col).eqNullSafe(F.col(t + "id")) & (F.xxhash64(quoted(text_col)) == F.col(t + "hash")), "left")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coverlens.llm.common import free_name, quoted, save
+from coverlens.llm.common import free_prefix, quoted, save
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -117,7 +117,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     new ones are replaced.  Repeated rows are told apart by a running number.
     """
     keep = [c for c in docs.columns if c.lower() not in ("epoch", "words")]
-    t = free_name(docs.columns, "mix_")
+    t = free_prefix(docs.columns, "mix_")
     seed = options.get("seed", SEED)
     taken = (mix(docs, **options).filter("size > 0")
              .withColumn("no", F.row_number().over(Window.partitionBy("doc_id", "source", "key").orderBy(F.desc("cut"))))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coverlens.llm.common import free_name, quoted
+from coverlens.llm.common import free_prefix, quoted
 
 RULES: tuple[tuple[str, str, str], ...] = (
     ("org", "/", "allow"),
@@ -68,7 +68,7 @@ def filter_urls(df: DataFrame, rules: DataFrame, url_col: str = "url", default:
     """
     out = ("host", "path", "rule", "verdict")
     url = quoted(url_col)
-    key = free_name(df.columns, "url_key_")
+    key = free_prefix(df.columns, "url_key_")
     rest = [quoted(c) for c in df.columns if c.lower() not in out]
     rows = df.select(*rest, url_host(url).alias("host"), url_path(url).alias("path"))
     known = (rules.select(F.translate("host", _UPPER, _LOWER).alias("r_host"), F.col("path").alias("r_path"),
