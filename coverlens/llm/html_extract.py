@@ -161,8 +161,8 @@ def node_features(tree: Tree) -> list[list[str]]:
     total = max(1, chars[0])
     out = []
     for i, n in enumerate(nodes):
-        f = ["bias", "tag=" + n.tag, f"links={int(4 * linked[i] / max(1, chars[i]))}", f"own={_bucket(n.chars) // 2}",
-             f"stops={_bucket(100 * stops[i] / max(1, chars[i]))}", f"blocks={min(4, blocks[i])}",
+        f = ["bias", "tag=" + n.tag, f"links={int(4 * linked[i] / max(1, chars[i]))}", f"own={min(4, _bucket(n.chars) // 2)}",
+             f"stops={min(3, _bucket(100 * stops[i] / max(1, chars[i])))}", f"blocks={min(4, blocks[i])}",
              f"share={int(4 * chars[i] / total)}"]
         f += ["word=" + w for w in set(n.words)]
         out.append(f)

@@ -26,6 +26,8 @@ PERCENT = 80
 COMMON = 50
 #: Share of the order's front in which n-grams are counted; prefixes reach hardly beyond it.
 COUNTED = 0.25
+#: Longest list of sets around one n-gram whose pairs are looked at one by one.
+PAIRED = 64
 #: Bits of the table of common n-grams: its size (2 MB) does not depend on the data.
 TABLE_BITS = 24
 #: Sets of a block, and n-grams of a fragment: bounds of one task's counting table.
@@ -138,6 +140,29 @@ def _prefixes(gram: int, percent: int, table, bits: int):
     return run
 
 
+def candidate_pairs(posts: DataFrame, percent: int, paired: int = PAIRED) -> DataFrame:
+    """Edges (a, b) that connect all sets which may be similar, from rows (key, n, i, g): n-gram g at place i of a prefix of n.
+
+    In a list of up to ``paired`` sets, the pairs whose lengths, and whose places of the shared
+    n-gram, still allow the overlap.  A longer list (its sets are made of common n-grams nearly
+    whole) is strung by length, each set to the next if the lengths allow a link: all that may
+    link are then connected, at the cost of one edge for each set.
+    """
+    by_gram = Window.partitionBy("g")
+    lists = save(posts.withColumn("least", F.min("key").over(by_gram)).withColumn("most", F.max("key").over(by_gram))
+                 .withColumn("size", F.count(F.lit(1)).over(by_gram)).filter("least < most").select("g", "key", "n", "i", "size"))
+    short, long = lists.filter(F.col("size") <= paired), lists.filter(F.col("size") > paired)
+    x, y = (short.select("g", *[F.col(c).alias(f"{s}_{c}") for c in ("key", "n", "i")]) for s in "xy")
+    left = F.least(F.col("x_n") - F.col("x_i"), F.col("y_n") - F.col("y_i"))
+    pairs = (x.join(y, "g").filter((F.col("x_key") < F.col("y_key"))
+                                   & ((100 + percent) * left >= percent * (F.col("x_n") + F.col("y_n"))))
+             .select(F.col("x_key").alias("a"), F.col("y_key").alias("b")))
+    along = Window.partitionBy("g").orderBy("n", "key")
+    strung = (long.select("key", F.lag("key").over(along).alias("b"), "n", F.lag("n").over(along).alias("m"))
+              .filter((F.col("b") != F.col("key")) & (100 * F.col("m") >= percent * F.col("n"))).select(F.col("key").alias("a"), "b"))
+    return pairs.unionByName(strung).distinct()
+
+
 def _member_sets(gram: int):
     """Mapper: (group, block, key, text) -> (group, block, key, n, the set as bytes), rows whose text has that key."""
     def run(batches: Iterable) -> Iterator:
@@ -225,7 +250,7 @@ def _group_links(percent: int):
 
 
 def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM,
-                    percent: int = PERCENT, common: int = COMMON, block: int = BLOCK) -> DataFrame:
+                    percent: int = PERCENT, common: int = COMMON, paired: int = PAIRED, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
     A text's set holds its distinct ``gram``-word shingles (words between ASCII blanks, A-Z
@@ -248,12 +273,8 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = save(base.select("doc_id", "text").mapInArrow(
         _prefixes(gram, percent, flags, TABLE_BITS), "doc_id long, n long, key long, prefix array<long>"))
 
-    # Sets that share a prefix n-gram: a star around the least of them.
-    posts = rows.filter("prefix is not null").select("key", F.explode("prefix").alias("g"))
-    hub = F.min("key").over(Window.partitionBy("g"))
-    meets = posts.select("key", hub.alias("hub")).filter("key <> hub").distinct()
-    groups = save(components(meets.select(F.col("key").alias("a"), F.col("hub").alias("b"))).select(
-        F.col("node").alias("key"), F.col("root").alias("grp")))
+    meets = candidate_pairs(rows.filter("prefix is not null").select("key", "n", F.posexplode("prefix").alias("i", "g")), percent, paired)
+    groups = save(components(meets).select(F.col("node").alias("key"), F.col("root").alias("grp")))
 
     # The members' whole sets, one text for each set, dealt into blocks.
     sizes = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))

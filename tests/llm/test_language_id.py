@@ -1,0 +1,80 @@
+"""Language ID: held-out accuracy, features, and the undetermined cases."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from coverlens.llm import language_id as li
+
+SYLLABLES = {"xa": ["ka", "to", "ri", "mu", "se"], "yb": ["schr", "ung", "eit", "ver", "ö"], "zc": ["eau", "oi", "ç", "ent", "eux"]}
+
+
+def prose(lang, n, rng):
+    return " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randint(1, 4))) for _ in range(n)).capitalize() + "."
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    rng = random.Random(1)
+    rows = []
+    for i in range(400):
+        lang = rng.choice(list(SYLLABLES))
+        text = prose(lang, rng.randint(3, 60), rng)
+        # Held-out rows carry wrong labels: learning from them would show.
+        rows.append((i, text, lang if zlib.crc32(str(i).encode()) % 4 != 2 else "xa", lang, 1.0))
+    extra = [(1000, None, "xa", None, 1.0), (1001, "", "xa", None, 1.0), (1002, "12 34 !?", "yb", None, 1.0), (1003, prose("zc", 40_000, rng), None, "zc", 1.0),
+             (None, prose("yb", 20, rng), "yb", "yb", 1.0), (5, rows[5][1], rows[5][2], rows[5][3], 1.0)]
+    return rows + extra, spark.createDataFrame(rows + extra, "doc_id long, text string, lang string, truth string, SCORE double")
+
+
+def test_held_out_accuracy_and_reruns(spark, table):
+    rows, df = table
+    model = li.fit(df)
+    assert model.langs == sorted(SYLLABLES) and (np.asarray(model.weights) == 0).mean() > 0.5  # elastic net: mostly zeros
+    got = li.predict(df.repartition(3), model)
+    assert got.columns == ["doc_id", "text", "lang", "truth", "lang_pred", "score"]
+    got = got.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.truth is None:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+        else:
+            assert 0 < r.score <= 1
+    known = [r for r in got if r.truth]
+    assert sum(r.lang_pred == r.truth for r in known) / len(known) > 0.97
+    again = li.predict(df, li.fit(df.repartition(7))).collect()
+    assert {(r.doc_id, r.lang_pred, round(r.score, 9)) for r in again} == {(r.doc_id, r.lang_pred, round(r.score, 9)) for r in got}
+
+
+def test_rejection_keeps_columns_and_rows(spark, table):
+    rows, df = table
+    kept = li.accepted(df)
+    assert kept.columns == df.columns
+    assert {1000, 1001, 1002}.isdisjoint(r.doc_id for r in kept.collect())
+    assert kept.count() >= 0.97 * len(rows)
+
+
+def test_nothing_to_learn_from(spark):
+    df = spark.createDataFrame([(1, "abc", None), (2, None, "en"), (3, "42", None)], "doc_id long, text string, lang string")
+    assert {(r.lang_pred, r.score) for r in li.predict(df, li.fit(df)).collect()} == {("und", 0.0)}
+    assert [r.doc_id for r in li.accepted(df).collect()] == [1]
+    assert li.predict(df.limit(0), li.fit(df.limit(0))).collect() == []
+
+
+def test_grams_do_not_depend_on_spans(monkeypatch):
+    rng = random.Random(3)
+    text = "".join(rng.choice("abc éß,. \n1") for _ in range(5000))
+    whole = np.sort(np.concatenate(list(li.grams(text))))
+    monkeypatch.setattr(li, "_SPAN", 64)
+    pieces = np.sort(np.concatenate(list(li.grams(text))))
+    assert abs(len(whole) - len(pieces)) <= 0.02 * len(whole)
+
+
+def test_temperature():
+    rng = np.random.default_rng(1)
+    logits = rng.normal(size=(4000, 3)) * 2
+    p = np.exp(logits) / np.exp(logits).sum(1, keepdims=True)
+    y = np.array([rng.choice(3, p=q) for q in p])
+    assert li.fit_temperature(5 * logits, y) == pytest.approx(5, rel=0.15)

@@ -58,11 +58,11 @@ def test_classes_against_brute_force(spark):
     rows = corpus(5)
     want = classes(rows)
     df = spark.createDataFrame([(*r, "z") for r in rows + [rows[0], (None, rows[1][1])]], "doc_id long, text string, COMPONENT_ID string")
-    got = similar_classes(df.repartition(4), common=20, block=8).collect()  # small blocks: groups are split
+    got = similar_classes(df.repartition(4), common=20, paired=5, block=8).collect()  # small blocks: groups are split
     assert len(got) == len(rows) + 2
     for r in got:
         if r.doc_id is None:
-            assert (r.n_shingles, r.component_id) == (0, None)
+            assert (r.n_shingles, r.component_id) == (len(shingles(rows[1][1])), None)
         else:
             text = dict(rows)[r.doc_id]
             assert (r.n_shingles, r.component_id) == (len(shingles(text)), want[r.doc_id])
