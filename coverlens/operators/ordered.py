@@ -4,16 +4,16 @@ A plain ``Window.partitionBy(g).orderBy(o)`` sends every row of a group to one t
 so one hot key (a state, a run, a brand holding a third of the rows) becomes one
 straggler.  ``running_scan`` computes the same running values in two levels:
 
-1. each group is cut into buckets that are contiguous ranges of the leading order
-   key, sized from per-group statistics (a mergeable aggregate) so that a bucket
-   holds about ``target_rows`` rows;
-2. windows run per (group, bucket); a small per-bucket summary (one row per bucket)
-   gives each bucket the totals of the buckets before it, joined back on
-   (group, bucket), which is how the windowed side is already partitioned.
-
-Small groups get one bucket, so the plan degrades to an ordinary window plus two
-small joins.  Running values supported: 1-based ordinal, inclusive running sums,
-the last ordinal (so far) where a condition held, and the group size.
+1. the rows are range-partitioned by (group, order columns), as Spark's sort does it, on
+   the columns themselves; a hot group, an outlier or a run of nulls spans as many
+   partitions as its rows ask for;
+2. windows run per (group, partition); a summary (one row per group and partition) gives
+   each part the totals of the parts before it.
+
+The partitioned rows are checkpointed once with their partition's number, so both levels,
+and any recomputation after a lost executor, see the same cut.  Running values supported:
+1-based ordinal, inclusive running sums, the last ordinal (so far) where a condition held,
+and the group size.
 """
 
 from __future__ import annotations
@@ -23,16 +23,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from coverlens.session import is_derived, materialize
 
-DEFAULT_BUCKET_ROWS = 1 << 20
-GLOBAL_SPLIT_ROWS = 10_000
-MAX_BROADCAST_ROWS = 2_000_000
-
-_NULL_FIRST_BUCKET = -1
-_NULL_LAST_BUCKET = (1 << 62)
+from coverlens.session import materialize
 
 
 def micros_ntz(c: Column) -> Column:
@@ -47,27 +39,6 @@ def micros_ntz(c: Column) -> Column:
             + F.minute(c).cast("long") * 60_000_000 + (sec * 1_000_000).cast("long"))
 
 
-def _lead_number(df: DataFrame, col: str) -> Column | None:
-    """Numeric image of the leading order key, monotone in its order; None if not bucketable."""
-    dtype = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(dtype, T.TimestampNTZType):
-        return micros_ntz(c).cast("double")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    if isinstance(dtype, T.StringType):
-        # First 6 UTF-8 bytes as an unsigned big-endian number, short strings padded with
-        # zero bytes: never decreasing in Spark's binary string order.  Strings sharing a
-        # prefix share a bucket, which keeps the buckets contiguous ranges.
-        prefix = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
-        return F.conv(prefix, 16, 10).cast("double")
-    return None
-
-
 def _join_back(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Null-safe equi-join on ``cols`` that keeps one copy of each key column."""
     r = right.select(*[F.col(c).alias(f"__r_{c}") for c in cols],
@@ -86,113 +57,41 @@ def running_scan(
     sums: Mapping[str, Column] | None = None,
     last_pos_where: Mapping[str, Column] | None = None,
     group_size: str | None = None,
-    target_rows: int | None = None,
-    materialize_input: bool | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add running values over ``order`` within each ``by`` group (empty ``by`` = whole table).
 
     ``order`` must be a total order inside a group (add a tie-breaker column), as the
-    reference's row order is.  ``sums`` maps output name -> numeric expression (running
-    inclusive sum).  ``last_pos_where`` maps output name -> boolean expression; the
-    output is the ordinal of the last row up to and including this one where it held
-    (null when none).  ``group_size`` names an optional column with the group's row count.
-
-    The input is read twice (statistics, then windows).  A derived input (its plan
-    shuffles) is therefore checkpointed once first, unless ``materialize_input`` says
-    otherwise; a plain scan is read twice, the statistics pass pruned to two columns.
+    reference's row order is; nulls come first ascending, last descending.  ``sums`` maps
+    output name -> numeric expression (running inclusive sum).  ``last_pos_where`` maps output
+    name -> boolean expression; the output is the ordinal of the last row up to and including
+    this one where it held (null when none).  ``group_size`` names an optional column with the
+    group's row count.
+
+    The rows are cut into ``partitions`` ranges (default: the session's shuffle partitions, the
+    setting that follows the data's size).  The input is computed once.
     """
     if not order:
         raise ValueError("running_scan needs an explicit order")
     sums = dict(sums or {})
     last_pos_where = dict(last_pos_where or {})
-    target = int(target_rows or df.sparkSession.conf.get("coverlens.scan.bucketRows", str(DEFAULT_BUCKET_ROWS)))
-
-    if materialize_input is None:
-        materialize_input = is_derived(df)
-    if materialize_input:
-        df = materialize(df)
+    spark = df.sparkSession
+    n = int(partitions or spark.conf.get("coverlens.scan.partitions", None) or spark.conf.get("spark.sql.shuffle.partitions"))
     base_cols = df.columns
     keys = list(by)
-    if not keys:
-        df = df.withColumn("__g", F.lit(0))
-        keys = ["__g"]
 
-    # Measures become plain columns first so the later stages see them by name.
+    # Measures become plain columns first: an output name may equal a column another measure reads.
     staged = df.withColumns({
         **{f"__s{i}": expr for i, expr in enumerate(sums.values())},
         **{f"__c{i}": F.coalesce(cond, F.lit(False)) for i, cond in enumerate(last_pos_where.values())},
     }) if (sums or last_pos_where) else df
-
-    lead = _lead_number(staged, order[0])
-    null_bucket = _NULL_LAST_BUCKET if descending else _NULL_FIRST_BUCKET
-    if lead is None:
-        # Not bucketable: one bucket per group is exactly a window per group.
-        return _plain_scan(df, base_cols, keys, order, descending, ordinal, sums, last_pos_where, group_size)
-    else:
-        key = (-lead) if descending else lead
-        staged = staged.withColumn("__k", key)
-        # When the leading value is one constant in a group, the next order column orders
-        # it, so its value ranges are the buckets there.
-        lead2 = _lead_number(staged, order[1]) if len(order) > 1 else None
-        staged = staged.withColumn("__k2", ((-lead2) if descending else lead2) if lead2 is not None
-                                   else F.lit(None).cast("double"))
-        if not by:
-            # Whole-table order: the three statistics are one tiny aggregate, used as literals.
-            st = staged.agg(F.min("__k").alias("lo"), F.max("__k").alias("hi"), F.count(F.lit(1)).alias("n"),
-                            F.min("__k2").alias("lo2"), F.max("__k2").alias("hi2")).first()
-            lo, hi, n, lo2, hi2 = st["lo"], st["hi"], st["n"], st["lo2"], st["hi2"]
-            # A whole-table order has no group keys to spread it, so from a modest size on
-            # it is cut into at least as many buckets as the cluster runs tasks at once.
-            nb = -(-n // target)
-            if n >= GLOBAL_SPLIT_ROWS:
-                nb = max(nb, df.sparkSession.sparkContext.defaultParallelism)
-            width = (hi - lo) / nb if (nb > 1 and hi is not None and hi > lo) else None
-            width2 = ((hi2 - lo2) / nb if (width is None and nb > 1 and hi is not None and hi == lo
-                                           and hi2 is not None and hi2 > lo2) else None)
-            small_groups, small_buckets = True, nb + 2 <= MAX_BROADCAST_ROWS
-            if width is None and width2 is None:
-                return _plain_scan(df, base_cols, keys, order, descending, ordinal, sums, last_pos_where, group_size)
-            staged = staged.withColumns({"__lo": F.lit(lo).cast("double"), "__w": F.lit(width).cast("double"),
-                                         "__lo2": F.lit(lo2).cast("double"), "__w2": F.lit(width2).cast("double")})
-        else:
-            stats = staged.groupBy(*keys).agg(
-                F.min("__k").alias("__lo"), F.max("__k").alias("__hi"), F.count(F.lit(1)).alias("__n"),
-                F.min("__k2").alias("__lo2"), F.max("__k2").alias("__hi2"))
-            nb = F.ceil(F.col("__n") / F.lit(target))
-            big = F.col("__n") > target
-            stats = stats.select(
-                *keys, "__lo", "__n", "__lo2",
-                F.when(big & (F.col("__hi") > F.col("__lo")), (F.col("__hi") - F.col("__lo")) / nb).alias("__w"),
-                F.when(big & (F.col("__hi") == F.col("__lo")) & (F.col("__hi2") > F.col("__lo2")),
-                       (F.col("__hi2") - F.col("__lo2")) / nb).alias("__w2"))
-            # Runtime decision, as AQE makes for joins: when no group is larger than one
-            # bucket, a window per group is already bounded and needs no second level.
-            chk = stats.agg(F.count(F.lit(1)).alias("groups"),
-                            F.count_if(F.col("__w").isNotNull() | F.col("__w2").isNotNull()).alias("split"),
-                            F.sum("__n").alias("rows")).first()
-            if chk["split"] == 0:
-                return _plain_scan(df, base_cols, keys, order, descending, ordinal, sums, last_pos_where, group_size)
-            # The statistics (one row per group) and the offsets (one row per bucket, at most
-            # rows/target + 2 per group) have exact bounds now: broadcast them under the
-            # bound, so the large side is not shuffled by group key; beyond it AQE decides.
-            small_groups = chk["groups"] <= MAX_BROADCAST_ROWS
-            small_buckets = chk["rows"] // target + 2 * chk["groups"] <= MAX_BROADCAST_ROWS
-            stats = stats.drop("__n")
-            staged = _join_back(staged, F.broadcast(stats) if small_groups else stats, keys)
-        staged = staged.withColumn(
-            "__b",
-            F.when(F.col("__k").isNull(), F.lit(null_bucket))
-            .when(F.col("__w").isNotNull(), F.floor((F.col("__k") - F.col("__lo")) / F.col("__w")))
-            .when(F.col("__w2").isNull(), F.lit(0))
-            .when(F.col("__k2").isNull(), F.lit(null_bucket))
-            .otherwise(F.floor((F.col("__k2") - F.col("__lo2")) / F.col("__w2")))
-            .cast("long"),
-        ).drop("__k", "__lo", "__w", "__k2", "__lo2", "__w2")
-
     sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    cut = staged.repartitionByRange(n, *[F.col(k).asc() for k in keys], *sort)
+    cut = materialize(cut.withColumn("__b", F.spark_partition_id()))
+
     w_rank = Window.partitionBy(*keys, "__b").orderBy(*sort)
     w_run = w_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = staged.withColumn("__lord", F.row_number().over(w_rank).cast("long"))
+    local = cut.withColumn("__lord", F.row_number().over(w_rank).cast("long"))
     if sums or last_pos_where:
         local = local.withColumns({
             **{f"__ls{i}": F.sum(f"__s{i}").over(w_run) for i in range(len(sums))},
@@ -200,7 +99,7 @@ def running_scan(
                for i in range(len(last_pos_where))},
         })
 
-    # One row per (group, bucket): its size, sums, and last local position per condition.
+    # One row per (group, part): its size, sums, and last local position per condition.
     summary = local.groupBy(*keys, "__b").agg(
         F.count(F.lit(1)).alias("__bn"),
         *[F.sum(f"__s{i}").alias(f"__bs{i}") for i in range(len(sums))],
@@ -218,7 +117,7 @@ def running_scan(
     offs = offs.drop("__bn", *[f"__bs{i}" for i in range(len(sums))],
                      *[f"__bp{i}" for i in range(len(last_pos_where))])
 
-    out = _join_back(local, F.broadcast(offs) if small_buckets else offs, [*keys, "__b"])
+    out = _join_back(local, offs, [*keys, "__b"])
     extra = [(F.col("__off") + F.col("__lord")).alias(ordinal)]
     extra += [(F.col(f"__ls{i}") + F.coalesce(F.col(f"__os{i}"), F.lit(0))).alias(name) for i, name in enumerate(sums)]
     extra += [F.coalesce(F.col("__off") + F.col(f"__lp{i}"), F.col(f"__op{i}")).alias(name)
@@ -230,36 +129,6 @@ def running_scan(
     return out.select(*[c for c in base_cols if c not in names], *extra)
 
 
-def _plain_scan(df: DataFrame, base_cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
-                descending: bool, ordinal: str, sums: Mapping[str, Column],
-                last_pos_where: Mapping[str, Column], group_size: str | None) -> DataFrame:
-    """One window per group: used when every group fits in one bucket (at most ``target_rows``)."""
-    sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    w = Window.partitionBy(*keys).orderBy(*sort)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # Measures are staged first: an output name may equal a column another measure reads.
-    staged = df.withColumns({
-        **{f"__s{i}": expr for i, expr in enumerate(sums.values())},
-        **{f"__c{i}": F.coalesce(cond, F.lit(False)) for i, cond in enumerate(last_pos_where.values())},
-    }) if (sums or last_pos_where) else df
-    out = staged.withColumn("__o", F.row_number().over(w).cast("long"))
-    if sums or last_pos_where:
-        out = out.withColumns({
-            **{f"__rs{i}": F.sum(f"__s{i}").over(run) for i in range(len(sums))},
-            **{f"__rp{i}": F.max(F.when(F.col(f"__c{i}"), F.col("__o"))).over(run)
-               for i in range(len(last_pos_where))},
-        })
-    extra = [F.col("__o").alias(ordinal)]
-    extra += [F.col(f"__rs{i}").alias(name) for i, name in enumerate(sums)]
-    extra += [F.col(f"__rp{i}").alias(name) for i, name in enumerate(last_pos_where)]
-    names = [ordinal, *sums, *last_pos_where]
-    if group_size:
-        out = out.withColumn("__gn", F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("long"))
-        extra.append(F.col("__gn").alias(group_size))
-        names.append(group_size)
-    return out.select(*[c for c in base_cols if c not in names], *extra)
-
-
 def ntile_of(ordinal: Column, size: Column, k: int | Column) -> Column:
     """1-based batch of a 1-based ``ordinal`` among ``size`` rows cut into ``k`` contiguous batches.
 
@@ -286,9 +155,9 @@ def ntile_start(batch: int, size: Column, k: int) -> Column:
 
 def top_k_per_group(df: DataFrame, by: Sequence[str], order: Sequence[str], k: int, *,
                     descending: bool = False, rank_col: str | None = None,
-                    target_rows: int | None = None) -> DataFrame:
+                    partitions: int | None = None) -> DataFrame:
     """First ``k`` rows of each group in ``order`` (a limit that is the feature: previews, recent items)."""
     name = rank_col or "__rank"
-    ranked = running_scan(df, by, order, descending=descending, ordinal=name, target_rows=target_rows)
+    ranked = running_scan(df, by, order, descending=descending, ordinal=name, partitions=partitions)
     out = ranked.filter(F.col(name) <= k)
     return out if rank_col else out.drop(name)

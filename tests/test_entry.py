@@ -52,15 +52,15 @@ SPLIT = ["batch_slice", "batch_preview", "catalog_rejects", "lookup_progress", "
 
 @pytest.mark.parametrize("name", SPLIT)
 def test_two_level_scan_on_driver_tables(spark, name):
-    """Force tiny buckets so every group takes the split (hot-group) path, then compare to the oracle."""
+    """Cut the tables into many small ranges, so that groups span several, then compare to the oracle."""
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
-    spark.conf.set("coverlens.scan.bucketRows", "37")
+    spark.conf.set("coverlens.scan.partitions", "37")
     try:
         df = E.queries()[name](spark, SF)
         got = _canon(df.columns, [tuple(r) for r in df.collect()])
     finally:
-        spark.conf.unset("coverlens.scan.bucketRows")
+        spark.conf.unset("coverlens.scan.partitions")
     cur = con.execute(E.oracle_sql()[name])
     assert got == _canon([d[0] for d in cur.description], cur.fetchall())

@@ -21,9 +21,9 @@ def _data(spark, n=600, seed=7):
 
 def test_running_scan_matches_window(spark):
     df = _data(spark)
-    for target in (5, 50, 10_000):
+    for parts in (1, 7, 60):
         out = running_scan(df, ["g"], ["t", "id"], sums={"nbad": F.col("bad").cast("long")},
-                           last_pos_where={"lg": ~F.col("bad")}, group_size="n", target_rows=target)
+                           last_pos_where={"lg": ~F.col("bad")}, group_size="n", partitions=parts)
         w = W.partitionBy("g").orderBy("t", "id")
         run = w.rowsBetween(W.unboundedPreceding, 0)
         ref = (df.withColumn("ordinal", F.row_number().over(w).cast("long"))
@@ -38,14 +38,14 @@ def test_running_scan_matches_window(spark):
 
 def test_running_scan_descending_global(spark):
     df = _data(spark, 300, 3)
-    out = running_scan(df, [], ["t", "id"], descending=True, target_rows=7)
+    out = running_scan(df, [], ["t", "id"], descending=True, partitions=9)
     ref = df.withColumn("ordinal", F.row_number().over(W.orderBy(F.col("t").desc(), F.col("id").desc())).cast("long"))
     assert out.select("id", "ordinal").exceptAll(ref.select("id", "ordinal")).count() == 0
 
 
 def test_top_k(spark):
     df = _data(spark, 300, 5)
-    got = top_k_per_group(df, ["g"], ["t", "id"], 3, descending=True, target_rows=4)
+    got = top_k_per_group(df, ["g"], ["t", "id"], 3, descending=True, partitions=9)
     w = W.partitionBy("g").orderBy(F.col("t").desc(), F.col("id").desc())
     ref = df.withColumn("r", F.row_number().over(w)).filter("r <= 3").drop("r")
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
@@ -80,7 +80,7 @@ def test_running_scan_text_order_key(spark):
     rows = [(i, rnd.choice(["g1", "g2"]), rnd.choice(words)) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, g string, name string")
     for desc in (False, True):
-        out = running_scan(df, ["g"], ["name", "id"], descending=desc, target_rows=9)
+        out = running_scan(df, ["g"], ["name", "id"], descending=desc, partitions=9)
         sort = [F.col("name").desc(), F.col("id").desc()] if desc else [F.col("name"), F.col("id")]
         ref = df.withColumn("ordinal", F.row_number().over(W.partitionBy("g").orderBy(*sort)).cast("long"))
         a, b = out.select("id", "ordinal"), ref.select("id", "ordinal")
@@ -96,7 +96,7 @@ def test_running_scan_constant_lead_hot_group(spark):
     df = spark.createDataFrame(rows, "id long, g string, t long, u long, bad boolean")
     for desc in (False, True):
         for by in (["g"], []):
-            out = running_scan(df, by, ["t", "u", "id"], descending=desc, target_rows=11,
+            out = running_scan(df, by, ["t", "u", "id"], descending=desc, partitions=9,
                                sums={"nb": F.col("bad").cast("long")})
             sort = [F.col(c).desc() if desc else F.col(c).asc() for c in ("t", "u", "id")]
             w = W.partitionBy(*by).orderBy(*sort) if by else W.orderBy(*sort)
@@ -109,7 +109,7 @@ def test_running_scan_constant_lead_hot_group(spark):
 def test_running_scan_constant_lead_whole_table(spark):
     rows = [(i, 3, None if i % 13 == 0 else (i * 37) % 101) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, t long, u long")
-    spark.conf.set("coverlens.scan.bucketRows", "10")
+    spark.conf.set("coverlens.scan.partitions", "13")
     try:
         for desc in (False, True):
             out = running_scan(df, [], ["t", "u", "id"], descending=desc)
@@ -118,4 +118,34 @@ def test_running_scan_constant_lead_whole_table(spark):
             a, b = out.select("id", "ordinal"), ref.select("id", "ordinal")
             assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     finally:
-        spark.conf.unset("coverlens.scan.bucketRows")
+        spark.conf.unset("coverlens.scan.partitions")
+
+
+def _check(df, by, order, desc=False):
+    sort = [F.col(c).desc() if desc else F.col(c).asc() for c in order]
+    w = W.partitionBy(*by).orderBy(*sort) if by else W.orderBy(*sort)
+    ref = df.select("id", F.row_number().over(w).cast("long").alias("ordinal"))
+    out = running_scan(df, by, order, descending=desc).select("id", "ordinal")
+    assert out.exceptAll(ref).count() == 0 and ref.exceptAll(out).count() == 0
+
+
+def test_shared_prefix_and_large_integers_with_an_opposing_second_column(spark):
+    codes = spark.range(20_000).select("id", F.format_string("000000%05d", "id").alias("code"), (-F.col("id")).alias("u"))
+    _check(codes, [], ["code", "u"])
+    urls = spark.range(1000).select("id", F.format_string("https://example.org/%05d", "id").alias("url"), (-F.col("id")).alias("u"),
+                                    F.lit("g").alias("g"))
+    _check(urls, ["g"], ["url", "u"])
+    big = spark.range(1000).select("id", (F.lit(1 << 62) + F.col("id")).alias("t"), (-F.col("id")).alias("u"))
+    _check(big, [], ["t", "u"])
+    top = top_k_per_group(urls, ["g"], ["url", "u"], 3).select("id").collect()
+    assert sorted(r.id for r in top) == [0, 1, 2]
+
+
+def test_outliers_and_null_keys_are_spread(spark):
+    n = 20_000
+    df = spark.range(n).select("id", F.when(F.col("id") == 0, F.lit(10**15)).otherwise(F.col("id")).alias("t"),
+                               F.when(F.col("id") % 10 == 0, F.col("id")).alias("mostly_null"))
+    for order in (["t", "id"], ["mostly_null", "id"]):
+        _check(df, [], order)
+        cut = df.repartitionByRange(8, *order).groupBy(F.spark_partition_id()).count()
+        assert cut.agg(F.max("count")).first()[0] < n / 4

@@ -34,10 +34,10 @@ def _brute(rows, descending):
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=rows_st, target=st.integers(1, 8), descending=st.booleans())
-def test_running_scan_property(spark, rows, target, descending):
+@given(rows=rows_st, parts=st.integers(1, 8), descending=st.booleans())
+def test_running_scan_property(spark, rows, parts, descending):
     df = spark.createDataFrame([(i, g, t, f) for i, (g, t, f) in enumerate(rows)], "id long, g string, t long, f boolean")
     got = running_scan(df, ["g"], ["t", "id"], descending=descending, sums={"nf": F.col("f").cast("long")},
-                       last_pos_where={"last": ~F.col("f")}, group_size="n", target_rows=target)
+                       last_pos_where={"last": ~F.col("f")}, group_size="n", partitions=parts)
     res = {r.id: (r.ordinal, r.nf, r.last, r.n) for r in got.collect()}
     assert res == _brute(rows, descending)
