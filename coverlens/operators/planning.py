@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from coverlens.functions.attempts import REQUEST_DELAY_SEC
 from coverlens.operators.ordered import running_scan
-from coverlens.session import ensure_checkpoint_dir
 
 
-MAX_BROADCAST_LOCATIONS = 2_000_000
+#: Catalogue rows that travel together; one (location, block) pair is one row of work.
+BLOCK_ROWS = 256
 
 
 def _first_per_key(df: DataFrame, key: str, ordinal: str) -> DataFrame:
@@ -23,38 +23,46 @@ def _first_per_key(df: DataFrame, key: str, ordinal: str) -> DataFrame:
 
 def plan_grid(catalog: DataFrame, cat_order: Sequence[str], locations: DataFrame,
               loc_order: Sequence[str], cat_key: str | None = None, loc_key: str | None = None,
-              max_broadcast_rows: int = MAX_BROADCAST_LOCATIONS) -> DataFrame:
+              block_rows: int = BLOCK_ROWS, partitions: int | None = None) -> DataFrame:
     """Every catalogue row with every location, with its drug-major position.
 
-    No cross join: locations get dense ordinals 1..n, each catalogue row explodes
-    ``sequence(1, n)``, and the result equi-joins the locations on the ordinal.  The
-    join key is uniform, so the shuffle is balanced at any size; the location side is
-    broadcast only when its exact row count (it is materialised and counted) is within
-    ``max_broadcast_rows``.  ``position`` is (catalogue ordinal - 1) * n + location
-    ordinal, the reference's loop order.
-
-    With ``cat_key`` / ``loc_key`` only the first cell of each (cat_key, loc_key) pair
-    is produced (W7, first wins): positions are ordered by (catalogue ordinal, location
-    ordinal), so the first cell of a pair is the first catalogue row of its key with
-    the first location of its key.  Each side is reduced on its own, before the
-    product, so the grid itself is never shuffled for it.
+    The grid is the result, so it is built where it ends up: the catalogue is packed into
+    blocks of ``block_rows`` rows, each location takes every block's number, the (location,
+    block) pairs are spread evenly over ``partitions`` tasks (default: the session's shuffle
+    partitions), and each pair unpacks its block.  What is shuffled is one row per pair, a
+    ``block_rows``-th of the grid, and a copy of the catalogue for each task; nothing is
+    broadcast.
+    ``position`` is (catalogue ordinal - 1) * n + location ordinal, the reference's loop order.
+
+    With ``cat_key`` / ``loc_key`` only the first cell of each (cat_key, loc_key) pair is
+    produced (W7, first wins): positions are ordered by (catalogue ordinal, location ordinal),
+    so the first cell of a pair is the first catalogue row of its key with the first location
+    of its key.  Each side is reduced on its own, before the product.
     """
     spark = locations.sparkSession
-    # The numbered locations are used several times (count, join, statistics); they are
-    # written once to the shared checkpoint folder so their lineage is computed once.
-    ensure_checkpoint_dir(spark)
-    locs = running_scan(locations, [], loc_order, ordinal="location_ordinal").checkpoint(eager=True)
-    n = locs.count()
-    cats = running_scan(catalog, [], cat_order, ordinal="catalog_ordinal")
+    tasks = int(partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    locs = running_scan(locations, [], loc_order, ordinal="location_ordinal", group_size="__n")
+    cats = running_scan(catalog, [], cat_order, ordinal="catalog_ordinal", group_size="__m")
+    n_blocks = F.floor((F.col("__m") - 1) / block_rows) + 1
+    # Numbers of blocks travel with the catalogue's rows; the largest is the last block.
+    last = cats.agg(F.coalesce(F.max(n_blocks), F.lit(0)).cast("long")).scalar()
     if cat_key:
         cats = _first_per_key(cats, cat_key, "catalog_ordinal")
     if loc_key:
         locs = _first_per_key(locs, loc_key, "location_ordinal")
-    if n <= max_broadcast_rows:
-        locs = F.broadcast(locs)
-    spread = cats.withColumn("location_ordinal", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(n).cast("long"))))
-    grid = spread.join(locs, "location_ordinal", "inner")
-    return grid.withColumn("position", (F.col("catalog_ordinal") - 1) * F.lit(n) + F.col("location_ordinal"))
+    fields = [c for c in cats.columns if c != "__m"]
+    blocks = (cats.withColumn("__block", F.floor((F.col("catalog_ordinal") - 1) / block_rows).cast("long"))
+              .groupBy("__block").agg(F.collect_list(F.struct(*fields)).alias("__items"))
+              .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)))))
+    pairs = (locs.withColumn("__last", last).filter("__last > 0")
+             .withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__last") - 1))).drop("__last")
+             .withColumn("__salt", F.pmod("location_ordinal", F.lit(tasks)).cast("int")))
+    # Both sides are dealt by number, so the cells are spread before they are unpacked, at any size.
+    on = ["__block", "__salt"]
+    grid = pairs.repartition(tasks, *on).join(blocks.repartition(tasks, *on), on).withColumn("__c", F.explode("__items"))
+    rest = [c for c in locs.columns if c not in ("location_ordinal", "__n")]
+    return grid.select("location_ordinal", *[F.col(f"__c.{c}").alias(c) for c in fields], *rest,
+                       ((F.col("__c.catalog_ordinal") - 1) * F.col("__n") + F.col("location_ordinal")).alias("position"))
 
 
 def remaining(grid: DataFrame, ledger: DataFrame, keys: Sequence[str], status: str | None = None,

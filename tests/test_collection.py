@@ -130,3 +130,19 @@ def test_enrich_catalog_and_parse_failures(spark):
     assert [(r.zipcode, r.drug_name, r.first_seen) for r in pairs.collect()] == [("1", "A", 1)]
     assert [r.line_no for r in bad.collect()] == [3]
     assert tuple(summary.first()) == (3, 1, 1, 1)
+
+
+def test_plan_grid_is_spread_over_all_tasks(spark):
+    """100 x 2,000 cells: no task builds more than its share, with AQE on."""
+    from pyspark.sql import functions as F
+
+    from coverlens.operators.planning import plan_grid
+
+    cats = spark.range(100).withColumnRenamed("id", "c")
+    locs = spark.range(2000).withColumnRenamed("id", "l")
+    grid = plan_grid(cats, ["c"], locs, ["l"], block_rows=16, partitions=8)
+    per_task = [r["count"] for r in grid.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 200_000 and len(per_task) == 8 and max(per_task) < 2 * 200_000 / 8
+    assert grid.filter(F.col("position") != F.col("c") * 2000 + F.col("l") + 1).count() == 0
+    assert plan_grid(cats.limit(0), ["c"], locs, ["l"]).count() == 0
+    assert plan_grid(cats, ["c"], locs.limit(0), ["l"]).count() == 0
