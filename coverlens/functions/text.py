@@ -32,7 +32,7 @@ def split_lines(c: Column | str) -> Column:
 
 
 def clean_lines(c: Column | str) -> Column:
-    """Stripped, non-blank lines of a text: ``[l.strip() for l in f if l.strip()]``."""
+    """The lines of a text without white space around them, blank ones left out."""
     return F.filter(F.transform(split_lines(c), py_strip), lambda l: l != F.lit(""))
 
 

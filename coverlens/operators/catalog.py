@@ -15,9 +15,15 @@ def _present(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit("")) != F.lit("")
 
 
+def _one_per_key(mapping: DataFrame, map_code: str, map_value: str, out: str) -> DataFrame:
+    """The map with each key once: its greatest value, so an identifier wins over an empty entry."""
+    return (mapping.groupBy(F.col(map_code).alias("__k")).agg(F.max(map_value).alias(out))
+            .filter(F.col("__k").isNotNull()))
+
+
 def resolve(catalog: DataFrame, code: str, mapping: DataFrame, map_code: str, map_value: str) -> DataFrame:
     """Catalogue rows whose code has a non-empty identifier in ``mapping`` (J1, inner)."""
-    m = mapping.filter(_present(F.col(map_value))).select(F.col(map_code).alias("__k"), F.col(map_value))
+    m = _one_per_key(mapping.filter(_present(F.col(map_value))), map_code, map_value, map_value)
     return catalog.join(m, catalog[code] == m["__k"], "inner").drop("__k")
 
 
@@ -35,7 +41,7 @@ def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], name: st
 def enrich(catalog: DataFrame, code: str, mapping: DataFrame, map_code: str, map_value: str,
            out: str | None = None) -> DataFrame:
     """Every catalogue row plus its identifier, null when absent (J2, left join)."""
-    m = mapping.select(F.col(map_code).alias("__k"), F.col(map_value).alias(out or map_value))
+    m = _one_per_key(mapping, map_code, map_value, out or map_value)
     return catalog.join(m, catalog[code] == m["__k"], "left").drop("__k")
 
 
@@ -57,14 +63,19 @@ def lookup_metrics(enriched: DataFrame, value: str) -> DataFrame:
 def lookup_progress(enriched: DataFrame, by: Sequence[str], order: Sequence[str], ok: Column,
                     every: int = 10) -> DataFrame:
     """Running success/failure totals reported every ``every`` rows."""
+    good = F.coalesce(ok, F.lit(False))  # an unknown outcome counts as a failure
     scanned = running_scan(enriched, by, order, ordinal="i",
-                           sums={"ok": ok.cast("long"), "failed": (~ok).cast("long")})
+                           sums={"ok": good.cast("long"), "failed": (~good).cast("long")})
     return scanned.filter(F.col("i") % every == 0)
 
 
-def new_entries(fetched: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Keys found now that the stored map lacks (K6); append these to the map table."""
-    return fetched.select(key).distinct().join(existing.select(key), key, "left_anti")
+def new_entries(fetched: DataFrame, existing: DataFrame, key: str, value: str) -> DataFrame:
+    """Keys found now that the stored map lacks, with their identifier (K6); append these to the map table.
+
+    A key found more than once takes its greatest identifier.
+    """
+    found = fetched.groupBy(key).agg(F.max(value).alias(value))
+    return found.join(existing.select(key), key, "left_anti")
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:

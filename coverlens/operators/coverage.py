@@ -16,7 +16,7 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """Fail before any job runs when columns are missing; list missing and available ones."""
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}; available columns: {list(df.columns)}")
+        raise ValueError(f"the table lacks {missing}; it has {list(df.columns)}")
     return df
 
 
@@ -66,11 +66,3 @@ def pair_coverage(frames: Sequence[DataFrame], cols: Sequence[str]) -> DataFrame
     union = reduce(lambda a, b: a.unionByName(b), [f.select(*cols) for f in frames]).distinct()
     return union.agg(F.count(F.lit(1)).cast("long").alias("pairs"),
                      *[F.count_distinct(c).cast("long").alias(f"n_{c}") for c in cols])
-
-
-def read_fact_csv_measure(df: DataFrame, measure: str) -> DataFrame:
-    """The measure as double via the reference's coercion (P2); other columns untouched."""
-    dtype = df.schema[measure].dataType
-    if isinstance(dtype, T.NumericType):
-        return df
-    return df.withColumn(measure, to_number(F.col(measure)))

@@ -24,7 +24,7 @@ def validate_batch(batch_num: int | None, total_batches: int | None) -> None:
     if (batch_num is None) != (total_batches is None):
         raise ValueError("batch_num and total_batches must be given together")
     if batch_num is not None and not (1 <= batch_num <= total_batches):
-        raise ValueError(f"Batch number must be between 1 and {total_batches}")
+        raise ValueError(f"no batch {batch_num} among {total_batches}")
 
 
 def assign_batches(df: DataFrame, by: Sequence[str], order: Sequence[str], total_batches: int,
@@ -55,7 +55,9 @@ def batch_slice(df: DataFrame, by: Sequence[str], order: Sequence[str], batch_nu
 def locate(zips: DataFrame, geocodes: DataFrame, on: Sequence[str], state: str = "state",
            city: str = "city") -> DataFrame:
     """Zips with coordinates; an empty city becomes ``{state}_City``."""
-    out = zips.join(geocodes, list(on), "inner")
+    rest = [c for c in geocodes.columns if c not in on]
+    once = geocodes.groupBy(*on).agg(F.max(F.struct(*rest)).alias("__g")).select(*on, "__g.*")  # a key given twice is one place
+    out = zips.join(once, list(on), "inner")
     return out.withColumn(city, city_or_fallback(F.col(city), F.col(state)))
 
 

@@ -16,9 +16,9 @@ def _keyed(df: DataFrame, code: str) -> DataFrame:
 
 
 def code_intersection(left: DataFrame, left_code: str, right: DataFrame, right_code: str) -> DataFrame:
-    """Distinct codes present on both sides, compared as text."""
-    l = left.select(F.col(left_code).cast("string").alias("code")).filter(F.col("code").isNotNull())
-    r = right.select(F.col(right_code).cast("string").alias("code")).filter(F.col("code").isNotNull())
+    """Distinct codes present on both sides, in stripped form as A11 and J7 compare them."""
+    l = _keyed(left, left_code).select(F.col("__key").alias("code"))
+    r = _keyed(right, right_code).select(F.col("__key").alias("code"))
     return l.intersect(r)
 
 

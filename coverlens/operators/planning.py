@@ -86,11 +86,6 @@ def first_wins(df: DataFrame, key: Sequence[str] | str, order: Sequence[str] | s
     return df.groupBy(*key).agg(pick.alias("__r")).select(*key, "__r.*")
 
 
-def positions(df: DataFrame, order: Sequence[str], out: str = "pos") -> DataFrame:
-    """Global 1-based position in ``order`` (W8) without a single-partition window."""
-    return running_scan(df, [], order, ordinal=out)
-
-
 def plan_summary(locations: DataFrame, by: Sequence[str], catalog_size: int | Column,
                  delay_sec: float = REQUEST_DELAY_SEC) -> DataFrame:
     """Combinations and estimated seconds per group (A7): locations x catalogue x delay.

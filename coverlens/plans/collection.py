@@ -19,7 +19,7 @@ from coverlens.operators import catalog as cat
 from coverlens.operators import coverage as cov
 from coverlens.operators import geography as geo
 from coverlens.operators import planning as pl
-from coverlens.operators.ordered import running_scan, top_k_per_group
+from coverlens.operators.ordered import top_k_per_group
 
 
 def resolved_catalog(catalog: DataFrame, uuid_map: DataFrame, preview: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -92,11 +92,6 @@ def analyze_prices(prices: DataFrame, order: str | Sequence[str] = "ordinal") ->
     return groups, cov.no_favorable_summary(groups, ["zip_code", "procedure_code"])
 
 
-def number_in_file_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Global 0-based ``ordinal`` in ``order`` (for inputs that carry their own order columns)."""
-    return running_scan(df, [], order, ordinal="__o").withColumn("ordinal", F.col("__o") - 1).drop("__o")
-
-
 def enrich_catalog(catalog: DataFrame, uuid_map: DataFrame, code: str = "PROCEDURE_CODE",
                    map_code: str = "procedure_code", map_value: str = "care_uuid") -> tuple[DataFrame, DataFrame]:
     """(every catalogue row with CARE_UUID, lookup metrics): the catalogue enrichment job."""

@@ -150,11 +150,12 @@ def q_lookup_progress(spark, sf):
 
 
 @register("map_upsert", """
-SELECT DISTINCT l_partkey FROM lineitem a WHERE l_quantity >= 49
-AND NOT EXISTS (SELECT 1 FROM lineitem b WHERE b.l_quantity < 5 AND b.l_partkey = a.l_partkey)""")
+SELECT l_partkey, max(l_suppkey) AS ref FROM lineitem a
+WHERE NOT EXISTS (SELECT 1 FROM lineitem b WHERE b.l_quantity < 5 AND b.l_partkey = a.l_partkey) GROUP BY 1""")
 def q_map_upsert(spark, sf):
     li = Tables(spark, sf)("lineitem")
-    return cat.new_entries(li.filter(F.col("l_quantity") >= 49), li.filter(F.col("l_quantity") < 5), "l_partkey")
+    found = li.select("l_partkey", F.col("l_suppkey").alias("ref"))
+    return cat.new_entries(found, li.filter(F.col("l_quantity") < 5), "l_partkey", "ref")
 
 
 @register("first_hit", "SELECT user_id, arg_min(event_type, event_id) AS hit FROM events GROUP BY user_id")

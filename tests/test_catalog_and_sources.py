@@ -81,9 +81,9 @@ def test_progress_every_ten(spark):
 
 
 def test_new_entries_and_first_hit(spark):
-    fetched = spark.createDataFrame([("a",), ("b",), ("b",)], "k string")
+    fetched = spark.createDataFrame([("a", "1"), ("b", "2"), ("b", "3")], "k string, uuid string")
     existing = spark.createDataFrame([("a",)], "k string")
-    assert [r.k for r in cat.new_entries(fetched, existing, "k").collect()] == ["b"]
+    assert [tuple(r) for r in cat.new_entries(fetched, existing, "k", "uuid").collect()] == [("b", "3")]
     hits = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 5, "z")], "k string, rank int, uuid string")
     assert {r.k: r.hit for r in cat.first_hit(hits, "k", "rank", "uuid").collect()} == {"a": "y", "b": "z"}
 
@@ -101,3 +101,57 @@ def test_line_numbers_restart_per_file(spark, tmp):
     open(os.path.join(d, "b.log"), "w").write("b1\nb2\n")
     got = sorted((r.file_name, r.line_no, r.value) for r in readers.read_lines(spark, d).collect())
     assert got == [("a.log", 1, "a1"), ("a.log", 2, "a2"), ("a.log", 3, "a3"), ("b.log", 1, "b1"), ("b.log", 2, "b2")]
+
+
+def test_equal_names_in_two_folders_are_two_files(spark, tmp):
+    for d, text in (("x", "1\n2\n"), ("y", "3\n4\n")):
+        os.makedirs(os.path.join(tmp, d))
+        open(os.path.join(tmp, d, "run.log"), "w").write(text)
+    got = sorted((r.line_no, r.value) for r in readers.read_lines(spark, [os.path.join(tmp, "x"), os.path.join(tmp, "y")]).collect())
+    assert got == [(1, "1"), (1, "3"), (2, "2"), (2, "4")]
+
+
+def test_columns_are_read_by_name(spark, tmp):
+    p = os.path.join(tmp, "prices.csv")
+    open(p, "w").write("region,averageUnitPrice,sidecarCode\nGA,1.5,00002771559\n")
+    assert [tuple(r) for r in readers.read_price_list(spark, p).collect()] == [("00002771559", 1.5)]
+    d = os.path.join(tmp, "cat")
+    os.makedirs(d)
+    lines = CATALOG_CSV.splitlines()
+    for i in range(3):
+        open(os.path.join(d, f"part-{i}.csv"), "w").write("extra," + lines[0] + "\n" + "".join(f"{i}," + x + "\n" for x in lines[1 + i:2 + i]))
+    got = readers.read_catalog(spark, d).orderBy("ordinal").collect()
+    assert [(r.ordinal, r.PROCEDURE_CODE) for r in got] == [(0, "00012345678"), (1, "12345678901"), (2, "22222222222")]
+
+
+def test_a_results_file_without_required_columns_raises(spark, tmp):
+    import pytest
+
+    p = os.path.join(tmp, "fact.csv")
+    open(p, "w").write("state,zip_code\nGA,30301\n")
+    with pytest.raises(ValueError, match="pharmacy_name"):
+        readers.read_fact_csv(spark, p)
+
+
+def test_an_unreadable_ledger_raises(spark, tmp):
+    import pytest
+
+    assert readers.read_ledger(spark, os.path.join(tmp, "none")).count() == 0
+    bad = os.path.join(tmp, "ledger")
+    os.makedirs(bad)
+    open(os.path.join(bad, "part-0.parquet"), "w").write("no parquet")
+    with pytest.raises(Exception):
+        readers.read_ledger(spark, bad).count()
+
+
+def test_small_cases_of_lookup_and_match(spark):
+    from coverlens.operators import matching as mt
+
+    a = spark.createDataFrame([("2771559",), (None,)], "c string")
+    b = spark.createDataFrame([("00002771559",), ("7",)], "c string")
+    assert [r.code for r in mt.code_intersection(a, "c", b, "c").collect()] == ["2771559"]
+    df = spark.createDataFrame([(i, "s", None if i == 3 else True) for i in range(10)], "i long, src string, ok boolean")
+    assert [(r.ok, r.failed) for r in cat.lookup_progress(df, ["src"], ["i"], F.col("ok")).collect()] == [(9, 1)]
+    m = spark.createDataFrame([("2771559", ""), ("2771559", "id")], "k string, v string")
+    assert cat.enrich(a, "c", m, "k", "v").count() == 2
+    assert [r.v for r in cat.resolve(a, "c", m, "k", "v").collect()] == ["id"]

@@ -41,7 +41,7 @@ def test_summary(prices):
 
 
 def test_required_columns(prices):
-    with pytest.raises(ValueError, match="Missing required columns: \\['nope'\\]"):
+    with pytest.raises(ValueError, match="the table lacks \\['nope'\\]"):
         require_columns(prices, ["zip_code", "nope"])
 
 
