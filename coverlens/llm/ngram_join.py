@@ -23,11 +23,11 @@ from coverlens.llm.words import BLANKS, U, distinct_sorted, gram_hashes, mix, ut
 GRAM = 5
 PERCENT = 80
 #: An n-gram in at least this many texts is moved to the end of the global order.
-COMMON = 50
+COMMON = 16
 #: Share of the order's front in which n-grams are counted; prefixes reach hardly beyond it.
 COUNTED = 0.25
 #: Longest list of sets around one n-gram whose pairs are looked at one by one.
-PAIRED = 64
+PAIRED = 24
 #: Bits of the table of common n-grams: its size (2 MB) does not depend on the data.
 TABLE_BITS = 24
 #: Sets of a block, and n-grams of a fragment: bounds of one task's counting table.
@@ -119,7 +119,7 @@ def _prefixes(gram: int, percent: int, table, bits: int):
                 if flags is not None:
                     slot = (grams & U((1 << bits) - 1)).astype(np.int64)
                     common = (flags[slot >> 6] >> (slot & 63)) & 1 > 0
-                keys, prefixes, named = [], [], batch.column(0).is_valid().to_pylist()
+                keys, prefixes, lasts, named = [], [], [], batch.column(0).is_valid().to_pylist()
                 for i in range(len(b) - 1):
                     g = grams[b[i]:b[i + 1]]
                     n = len(g) if named[i] else 0
@@ -127,36 +127,54 @@ def _prefixes(gram: int, percent: int, table, bits: int):
                     keys.append(k)
                     if not n or k in seen:
                         prefixes.append(None)
+                        lasts.append(None)
                         continue
                     seen.add(k)
+                    rare = n
                     if flags is not None:
                         c = common[b[i]:b[i + 1]]
+                        rare = n - int(c.sum())
                         g = np.concatenate([g[~c], g[c]])
-                    prefixes.append(g[:n - _needed(n, percent) + 1].view(np.int64))
+                    g = g[:n - _needed(n, percent) + 1]
+                    prefixes.append(g.view(np.int64))
+                    lasts.append((int(g[-1]) >> 2) + ((len(g) > rare) << 62))  # its place in the global order
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(np.diff(b), pa.int64()), pa.array(keys, pa.int64()),
-                     pa.array(prefixes, pa.list_(pa.int64()))], ["doc_id", "n", "key", "prefix"])
+                    [batch.column(0), pa.array(np.diff(b), pa.int64()), pa.array(keys, pa.int64()), pa.array(lasts, pa.int64()),
+                     pa.array(prefixes, pa.list_(pa.int64()))], ["doc_id", "n", "key", "last", "prefix"])
 
     return run
 
 
-def candidate_pairs(posts: DataFrame, percent: int, paired: int = PAIRED) -> DataFrame:
-    """Edges (a, b) that connect all sets which may be similar, from rows (key, n, i, g): n-gram g at place i of a prefix of n.
+def candidate_pairs(rows: DataFrame, percent: int, paired: int = PAIRED) -> DataFrame:
+    """Edges (a, b) that connect all sets which may be similar, from rows (key, n, last, prefix).
 
-    In a list of up to ``paired`` sets, the pairs whose lengths, and whose places of the shared
-    n-gram, still allow the overlap.  A longer list (its sets are made of common n-grams nearly
-    whole) is strung by length, each set to the next if the lengths allow a link: all that may
-    link are then connected, at the cost of one edge for each set.
+    In a list of up to ``paired`` sets around an n-gram, every pair whose lengths allow a link is
+    noted, and the notes of a pair are counted: its shared prefix n-grams.  Of the two prefixes,
+    the one that ends first in the global order has all its common n-grams in the other one, so
+    the overlap is at most that count plus what lies behind that prefix; pairs that cannot reach
+    the bound go.  A longer list (its sets are made of common n-grams nearly whole) is strung by
+    length, each set to the next if the lengths allow a link: all that may link are then
+    connected, at the cost of one edge for each set.  N-grams of longer lists are not counted,
+    so as many of them as both sets have are taken to be shared.
     """
     by_gram = Window.partitionBy("g")
+    posts = rows.select("key", "n", F.explode("prefix").alias("g"))
     lists = save(posts.withColumn("least", F.min("key").over(by_gram)).withColumn("most", F.max("key").over(by_gram))
-                 .withColumn("size", F.count(F.lit(1)).over(by_gram)).filter("least < most").select("g", "key", "n", "i", "size"))
+                 .withColumn("size", F.count(F.lit(1)).over(by_gram)).filter("least < most").select("g", "key", "n", "size"))
     short, long = lists.filter(F.col("size") <= paired), lists.filter(F.col("size") > paired)
-    x, y = (short.select("g", *[F.col(c).alias(f"{s}_{c}") for c in ("key", "n", "i")]) for s in "xy")
-    left = F.least(F.col("x_n") - F.col("x_i"), F.col("y_n") - F.col("y_i"))
-    pairs = (x.join(y, "g").filter((F.col("x_key") < F.col("y_key"))
-                                   & ((100 + percent) * left >= percent * (F.col("x_n") + F.col("y_n"))))
-             .select(F.col("x_key").alias("a"), F.col("y_key").alias("b")))
+    x, y = (short.select("g", F.col("key").alias(k), F.col("n").alias("n" + k)) for k in "ab")
+    shared = (x.join(y, "g").filter((F.col("a") < F.col("b")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
+              .groupBy("a", "b").agg(F.count(F.lit(1)).alias("s")))
+    uncounted = long.select("key", "g").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    about = (rows.join(lists.select("key").distinct(), "key", "left_semi").groupBy("key")
+             .agg(F.first("n").alias("n"), F.first("last").alias("last"), F.first(F.size("prefix")).alias("p"))
+             .join(uncounted, "key", "left").select("key", "n", "last", (F.col("n") - F.col("p")).alias("rest"), F.coalesce("c", F.lit(0)).alias("c")))
+    one, two = (about.select(*[F.col(c).alias(c + "_" + k if c != "key" else k) for c in about.columns]) for k in "ab")
+    behind = (F.when(F.col("last_a") < F.col("last_b"), F.col("rest_a")).when(F.col("last_a") > F.col("last_b"), F.col("rest_b"))
+              .otherwise(F.greatest("rest_a", "rest_b")))
+    pairs = (shared.join(one, "a").join(two, "b")
+             .filter((100 + percent) * (F.col("s") + F.least("c_a", "c_b") + behind) >= percent * (F.col("n_a") + F.col("n_b")))
+             .select("a", "b"))
     along = Window.partitionBy("g").orderBy("n", "key")
     strung = (long.select("key", F.lag("key").over(along).alias("b"), "n", F.lag("n").over(along).alias("m"))
               .filter((F.col("b") != F.col("key")) & (100 * F.col("m") >= percent * F.col("n"))).select(F.col("key").alias("a"), "b"))
@@ -164,16 +182,16 @@ def candidate_pairs(posts: DataFrame, percent: int, paired: int = PAIRED) -> Dat
 
 
 def _member_sets(gram: int):
-    """Mapper: (group, block, key, text) -> (group, block, key, n, the set as bytes), rows whose text has that key."""
+    """Mapper: (key, text, ...) -> (key, the text's set as bytes, ...), rows whose text has that key."""
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
         for batch in _slices(batches):
-            grams, b = _sets(batch, 3, gram)
+            grams, b = _sets(batch, 1, gram)
             sets = [grams[b[i]:b[i + 1]] for i in range(batch.num_rows)]
-            right = [len(s) > 0 and _set_key(s) == k for s, k in zip(sets, batch.column(2).to_pylist(), strict=True)]
-            out = pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([s.tobytes() for s in sets], pa.binary())],
-                                             ["grp", "blocks", "key", "grams"])
+            right = [len(s) > 0 and _set_key(s) == k for s, k in zip(sets, batch.column(0).to_pylist(), strict=True)]
+            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), *batch.columns[2:]],
+                                             names=["key", "grams", *batch.schema.names[2:]])
             yield out.filter(pa.array(right, pa.bool_()))
 
     return run
@@ -263,30 +281,35 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     N-grams and sets go by 64-bit hashes: two unlike ones agree with a chance of 5e-20 each.
 
     Exact copies are one set from the first step on.  A candidate group that is larger than a
-    block is dealt into blocks by hash, and each pair of blocks is a task of its own, so no
-    task holds more than two blocks of sets.
+    block is dealt into blocks along the sets' lengths, and each pair of blocks whose lengths
+    allow links is worked on by itself, so no step holds more than two blocks of sets.
     """
     spark = docs.sparkSession
     base = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text"))
     table = common_table(base, "text", gram, common)
     flags = spark.sparkContext.broadcast(table) if table is not None else None
     rows = save(base.select("doc_id", "text").mapInArrow(
-        _prefixes(gram, percent, flags, TABLE_BITS), "doc_id long, n long, key long, prefix array<long>"))
-
-    meets = candidate_pairs(rows.filter("prefix is not null").select("key", "n", F.posexplode("prefix").alias("i", "g")), percent, paired)
-    groups = save(components(meets).select(F.col("node").alias("key"), F.col("root").alias("grp")))
-
-    # The members' whole sets, one text for each set, dealt into blocks.
-    sizes = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    one = (rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-           .join(groups, "key").join(sizes, "grp"))
-    texts = (base.join(one, "doc_id").select("grp", "blocks", "key", "text"))
-    sets = texts.mapInArrow(_member_sets(gram), "grp long, blocks int, key long, grams binary")
-    mine = F.pmod(F.xxhash64("key", F.lit(1)), F.col("blocks")).cast("int")
-    dealt = sets.withColumn("mine", mine).select(
-        "grp", "key", "grams", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "grp", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-        (F.col("mine") > F.col("other")).cast("int").alias("side"), "key", "grams")
+        _prefixes(gram, percent, flags, TABLE_BITS), "doc_id long, n long, key long, last long, prefix array<long>"))
+
+    meets = candidate_pairs(rows.filter("prefix is not null"), percent, paired)
+    groups = components(meets).select(F.col("node").alias("key"), F.col("root").alias("grp"))
+
+    # Groups are dealt into blocks along the sets' lengths; blocks meet whose lengths allow a link.
+    one = rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n")).join(groups, "key")
+    place = F.row_number().over(Window.partitionBy("grp").orderBy("n", "key"))
+    one = save(one.withColumn("blk", F.floor((place - 1) / block).cast("int")))
+    spans = one.groupBy("grp", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    first, second = (spans.select("grp", F.col("blk").alias(k), F.col("lo").alias("lo" + k), F.col("hi").alias("hi" + k)) for k in "ij")
+    meet = first.join(second, "grp").filter((F.col("i") <= F.col("j")) & (100 * F.col("hii") >= percent * F.col("loj")))
+    seats = (meet.select("grp", F.col("i").alias("blk"), "i", "j", F.lit(0).alias("side"))
+             .unionByName(meet.filter("i < j").select("grp", F.col("j").alias("blk"), "i", "j", F.lit(1).alias("side"))))
+    seats = seats.groupBy("grp", "blk").agg(F.collect_list(F.struct("i", "j", "side")).alias("seats"))
+    seated = one.join(seats, ["grp", "blk"]).select("doc_id", "key", "grp", "seats")
+
+    # The members' whole sets, from one text for each.
+    sets = (base.join(seated, "doc_id").select("key", "text", "grp", "seats")
+            .mapInArrow(_member_sets(gram), "key long, grams binary, grp long, seats array<struct<i:int,j:int,side:int>>"))
+    dealt = sets.select("grp", F.explode("seats").alias("s"), "key", "grams").select("grp", "s.i", "s.j", "s.side", "key", "grams")
     edges = (dealt.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
              .mapInArrow(_group_links(percent), "a long, b long"))
     classes = components(edges).select(F.col("node").alias("key"), "root")
