@@ -1,0 +1,79 @@
+"""The pipeline's rows against the stages done by hand on a small corpus."""
+
+import random
+from collections import defaultdict
+
+import pytest
+from test_decontaminate import brute as hits
+from test_language_id import SYLLABLES, prose
+from test_line_dedup import brute as repeated_lines
+from test_mixing import brute_targets
+from test_ngram_join import classes
+
+import corpus_pipeline
+
+
+def corpus():
+    rng = random.Random(12)
+    passage = prose("xa", 25, rng)
+    notice = prose("yb", 9, rng)
+    rows = []
+    for i in range(150):
+        lang = rng.choice(list(SYLLABLES))
+        lines = [prose(lang, rng.randint(12, 40), rng) for _ in range(rng.randint(1, 4))]
+        if i % 9 == 0:
+            lines.insert(rng.randint(0, len(lines)), notice)
+        if i % 31 == 5:
+            lines.append("intro " + passage)
+        rows.append((i, "\n".join(lines), lang, rng.choice(["s1", "s2", "s3", None])))
+    for k in range(12):  # exact copies, and copies with a word changed in each line
+        rows.append((200 + k, rows[k][1], rows[k][2], "s1"))
+        rows.append((300 + k, "\n".join(x + " " + prose(rows[k + 20][2], 1, rng) for x in rows[k + 20][1].split("\n")), rows[k + 20][2], "s2"))
+    rows += [(900, None, "xa", "s1"), (901, "", "xa", "s1"), (902, "1 2 3 !", "xa", "s2"), (903, prose("zc", 30, rng), None, "s3")]
+    return rows, [(1, passage), (2, prose("zc", 12, rng)), (3, None)]
+
+
+def by_hand(rows, items):
+    docs = [(i, t, s) for i, t, _, s in rows if t and any(c.isalpha() for c in t)]
+    gone = repeated_lines([(i, t) for i, t, _ in docs])
+    cut = []
+    for i, t, s in docs:
+        if (i, t) in gone:
+            left = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i, t])
+            if left.strip():
+                cut.append((i, left, s))
+        else:
+            cut.append((i, t, s))
+    root = classes([(i, t) for i, t, _ in cut])
+    kept = [(i, t, s) for i, t, s in cut if root[i] == i]
+    return [(i, t, s) for i, t, s in kept if not hits(t, items)[1]]
+
+
+def test_run_against_the_stages_by_hand(spark, tmp):
+    rows, items = corpus()
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], schema).write.parquet(f"{tmp}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, tmp)
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "epoch", "words"]
+    want = by_hand(rows, items)
+    text = {i: t for i, t, _ in want}
+    size = defaultdict(int)
+    for _, t, s in want:
+        size[s] += len(t.split())
+    targets, taken = brute_targets(dict(size)), defaultdict(int)
+    for r in out.collect():
+        assert text[r.doc_id].startswith(r.text) and len(r.text.split()) == r.words and r.epoch in (1, 2)
+        taken[r.source] += r.words
+    for s, t in targets.items():
+        assert taken[s] == pytest.approx(t, abs=1)
+
+
+def test_every_stage_keeps_columns_and_takes_empty_tables(spark, tmp):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp}/benchmark.parquet")
+    docs = spark.createDataFrame([], schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, tmp)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, tmp).collect() == []
