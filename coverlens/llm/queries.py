@@ -16,12 +16,14 @@ from coverlens.llm import (
     mixing,
     ngram_join,
     url_filter,
+    warc_fixity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_filter.op1_url_filters,
     "op2_chat_format": chat_format.op2_chat_format,
     "op3_mix_sources": mixing.op3_mix_sources,
+    "op4_warc_fixity": warc_fixity.op4_warc_fixity,
     "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_language_id": language_id.op7_language_id,
@@ -34,6 +36,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_url_filters": url_filter.OP1_SQL,
     "op2_chat_format": chat_format.OP2_SQL,
+    "op4_warc_fixity": warc_fixity.OP4_SQL,
     "op6_line_dedup": line_dedup.OP6_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,
 }
