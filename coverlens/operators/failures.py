@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from coverlens.functions.attempts import MAX_CONSECUTIVE_FAILURES
 from coverlens.functions.text import contains_all, py_strip, split_lines
 from coverlens.operators.ordered import running_scan, top_k_per_group
-from coverlens.session import ensure_parallelism
 
 # --- fixed values: the collector's failure line and the wrapper's auth check ------
 FAILURE_MARKERS = ("❌ Failed to get data for", "Total failures:")
@@ -68,7 +67,7 @@ def log_summary(scanned: DataFrame) -> DataFrame:
 def auth_line_hits(docs: DataFrame, text: str, by: Sequence[str], pattern: str = AUTH_PATTERN) -> DataFrame:
     """Lines matching the wrapper's case-insensitive auth check, counted per group (T4)."""
     line_pat = "(?iud)" + pattern
-    docs = ensure_parallelism(docs.select(*by, text), list(by))
+    docs = docs.select(*by, text)
     lines = docs.select(*by, F.explode(split_lines(F.col(text))).alias("__l"))
     return (lines.filter(F.col("__l").rlike(line_pat))
             .groupBy(*by).agg(F.count(F.lit(1)).cast("long").alias("n")))

@@ -27,7 +27,7 @@ from coverlens.operators import planning as pl
 from coverlens.operators import responses as rs
 from coverlens.plans.tables import Tables, attempts, failure_log, landed_responses, order_plan
 from coverlens.schemas import OPTION_DDL
-from coverlens.session import ensure_parallelism, work_dir
+from coverlens.session import work_dir
 from coverlens.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,7 +53,7 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines
 FROM (SELECT doc_id, unnest({_LINES_SQL.format(t='text')}) AS line FROM documents)
 WHERE trim(line, {_WS_SQL}) <> '' GROUP BY doc_id""")
 def q_list_clean(spark, sf):
-    d = ensure_parallelism(Tables(spark, sf)("documents").select("doc_id", "text"), ["doc_id"])
+    d = Tables(spark, sf)("documents").select("doc_id", "text")
     return (d.select("doc_id", F.size(clean_lines("text")).cast("long").alias("n_lines"))
             .filter(F.col("n_lines") > 0))
 
@@ -324,7 +324,7 @@ SELECT l_orderkey AS o_orderkey, '[{"label":"' || l_returnflag || '","selected":
   THEN 'true' ELSE 'false' END || ',"gsn":"' || l_partkey || '","strength":"","qty":"' || l_linenumber
   || '","branded_or_generic_id":""}]' AS form_options FROM lineitem""")
 def q_option_json(spark, sf):
-    resp = ensure_parallelism(landed_responses(Tables(spark, sf)), ["o_orderkey"])
+    resp = landed_responses(Tables(spark, sf))
     ddl = "pharmacies array<struct<name: string>>, form " + OPTION_DDL["form"]
     parsed = resp.select("o_orderkey", rs.parse_body(F.col("body"), ddl).alias("r"))
     return (parsed.filter(F.size(F.col("r.pharmacies")) > 0)

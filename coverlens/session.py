@@ -3,16 +3,12 @@
 from __future__ import annotations
 
 import os
-import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_SHUFFLING = re.compile(r"^[\s:+\-|]*(Join|Aggregate|Window|Repartition\w*|RebalancePartitions|Sort)\b", re.M)
-
-
 def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "coverlens") -> SparkSession:
     """Local session with AQE on and the UI off.  On a cluster the caller's session is used as is."""
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
@@ -62,35 +58,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
             work_dir(spark, "init")
 
 
-def is_derived(df: DataFrame) -> bool:
-    """True when the plan shuffles (joins, aggregates, windows): recomputing it costs its upstream again."""
-    return bool(_SHUFFLING.search(df._jdf.queryExecution().optimizedPlan().treeString()))
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared checkpoint folder: computed once, lineage cut."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def ensure_parallelism(df: DataFrame, keys: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """Spread a CPU-heavy row-wise stage over the cluster when its input has too few partitions.
-
-    Small inputs (one file, one row group) give one scan task; JSON parsing or text
-    splitting then runs in a single task.  When the input already has at least the
-    default parallelism (always the case for large data) nothing changes.  Otherwise
-    it is hash-partitioned by ``keys`` (deterministic on retry, and the same exchange
-    a following join or aggregate on ``keys`` needs) or round-robin without keys.
-    """
-    if df.isStreaming:
-        return df  # micro-batches are sized by the source options instead
-    # A plan that already shuffles comes out with spark.sql.shuffle.partitions
-    # partitions; asking it for its RDD would run its stages under AQE, so it is left
-    # alone.  For a narrow plan over file scans the count is only split planning.
-    if is_derived(df):
-        return df
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)

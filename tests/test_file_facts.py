@@ -1,0 +1,57 @@
+"""Readers and operators together on small files made here: a failure log, value lists, a catalogue with its map."""
+
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from coverlens.functions.codes import stripped_code
+from coverlens.operators import catalog as cat
+from coverlens.operators import failures as fl
+from coverlens.operators import geography as geo
+from coverlens.sources import readers
+
+
+def test_failure_log_gives_pairs_in_first_seen_order(spark, tmp):
+    pairs = [(f"{43000 + i % 7}", f"Drug {i % 5} MG") for i in range(60)]
+    p = os.path.join(tmp, "run.log")
+    with open(p, "w") as f:
+        f.writelines(f"2024-01-01 00:00:{i:02d} - ERROR - ❌ Failed to get data for {d} in {z} (Total failures: {i}, Consecutive: 1)\n" for i, (z, d) in enumerate(pairs))
+    s = fl.scan_failure_lines(readers.read_lines(spark, p))
+    assert s.count() == 60 and fl.unparsed(s).count() == 0
+    got = [(r.zipcode, r.drug_name) for r in fl.failures_distinct(fl.failures(s)).orderBy("first_seen").collect()]
+    assert got == list(dict.fromkeys(pairs))
+    m = fl.log_summary(s).first()
+    assert (m.n_lines, m.n_pairs, m.n_zip, m.n_drug) == (60, 35, 7, 5)
+
+
+def test_value_lists_and_batches(spark, tmp):
+    sizes = {"FL": 948, "GA": 608, "OH": 955}
+    paths = {}
+    for k, (state, n) in enumerate(sizes.items()):
+        paths[state] = os.path.join(tmp, f"list_{state.lower()}.txt")
+        with open(paths[state], "w") as f:
+            f.write("\n".join(str(10_000 * (k + 1) + i) for i in range(n)))
+    z = readers.read_text_list(spark, paths)
+    assert {r.state: r["count"] for r in z.groupBy("state").count().collect()} == sizes
+    b = geo.assign_batches(z, ["state"], ["ordinal"], 2).groupBy("state", "batch_num").count().collect()
+    assert {(r.state, r.batch_num): r["count"] for r in b} == {
+        ("FL", 1): 474, ("FL", 2): 474, ("GA", 1): 304, ("GA", 2): 304, ("OH", 1): 478, ("OH", 2): 477}
+
+
+def test_catalogue_codes_as_text_and_as_numbers(spark, tmp):
+    codes = [f"{i:011d}" if i < 30 else str(20_000_000_000 + i) for i in range(1, 100)]
+    p, m = os.path.join(tmp, "catalog.csv"), os.path.join(tmp, "map.json")
+    with open(p, "w") as f:
+        f.write("PROCEDURE_CODE,DRUG_NAME_WITH_FORM_STRENGTH,DOSAGE_FORM,TOTAL_BENEFIT_AMOUNT,BENEFIT_PERCENTAGE,CLAIM_COUNT,"
+                "CLAIMS_FREQUENCY_PERCENTAGE\n")
+        f.writelines(f'{c},"Item {i}, 5 MG",Tablet,"  1,0{i}  ",0.1%,{i},0.2%\n' for i, c in enumerate(codes))
+    with open(m, "w") as f:
+        json.dump({c: f"id-{c}" for c in codes}, f)
+    catalog = readers.read_catalog(spark, p)
+    ids = readers.read_json_map(spark, m, key="code", value="uuid")
+    assert cat.resolve(catalog, "PROCEDURE_CODE", ids, "code", "uuid").count() == 99
+    # Read as numbers, codes lose their leading zeros and miss the map.
+    numeric = catalog.withColumn("num_code", stripped_code("PROCEDURE_CODE"))
+    enriched = cat.enrich(numeric, "num_code", ids, "code", "uuid", "CARE_UUID")
+    assert enriched.filter(F.col("CARE_UUID").isNotNull()).count() == 70
