@@ -326,7 +326,7 @@ SELECT l_orderkey AS o_orderkey, '[{"label":"' || l_returnflag || '","selected":
 def q_option_json(spark, sf):
     resp = landed_responses(Tables(spark, sf))
     ddl = "pharmacies array<struct<name: string>>, form " + OPTION_DDL["form"]
-    parsed = resp.select("o_orderkey", rs.parse_body(F.col("body"), ddl).alias("r"))
+    parsed = rs.parsed_once(resp, ["o_orderkey"], "body", ddl)
     return (parsed.filter(F.size(F.col("r.pharmacies")) > 0)
             .selectExpr("o_orderkey", f"{rs.json_sql(rs.options_sql('`r`.`form`', 'form'))} AS form_options"))
 
