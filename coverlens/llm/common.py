@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +33,32 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+#: Bits of a table of hashes: a fixed 64 KB, whatever the data.
+TABLE_BITS = 19
+
+
+def seen_table(hashes: DataFrame, bits: int = TABLE_BITS) -> Callable[[Column], Column]:
+    """A test for rows to keep before a join, from the join keys' hashes (column ``h``, long).
+
+    The test is true for every hash of the table and for some others, so a filter with it takes
+    rows out of a shuffle without changing the join.  The table has ``2 ** bits`` bits, however
+    many hashes there are; a crowded one lets more rows through.
+    """
+    words = 1 << (bits - 6)
+    got = (hashes.select(F.col("h").bitwiseAND((1 << bits) - 1).alias("s"))
+           .groupBy(F.shiftright("s", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("m")))
+    mask = ["0"] * words
+    for r in got.toLocalIterator():
+        mask[r.w] = str(r.m)
+    table = F.split(F.lit(",".join(mask)), ",").cast("array<bigint>")
+
+    def test(h: Column) -> Column:
+        slot = h.bitwiseAND((1 << bits) - 1)
+        return F.getbit(F.get(table, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(63).cast("int")) == 1
+
+    return test
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (a, b: any one ordered type, a <> b): rows (node, root), root the least node.
 

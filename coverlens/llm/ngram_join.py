@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coverlens.llm.common import components, quoted, save
+from coverlens.llm.common import components, quoted, save, seen_table
 from coverlens.llm.words import BLANKS, U, distinct_sorted, gram_hashes, mix, utf8, word_hashes
 
 GRAM = 5
@@ -307,7 +307,9 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     seated = one.join(seats, ["grp", "blk"]).select("doc_id", "key", "grp", "seats")
 
     # The members' whole sets, from one text for each.
-    sets = (base.join(seated, "doc_id").select("key", "text", "grp", "seats")
+    seated = save(seated)
+    here = seen_table(seated.select(F.xxhash64("doc_id").alias("h")))
+    sets = (base.filter(here(F.xxhash64("doc_id"))).join(seated, "doc_id").select("key", "text", "grp", "seats")
             .mapInArrow(_member_sets(gram), "key long, grams binary, grp long, seats array<struct<i:int,j:int,side:int>>"))
     dealt = sets.select("grp", F.explode("seats").alias("s"), "key", "grams").select("grp", "s.i", "s.j", "s.side", "key", "grams")
     edges = (dealt.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
