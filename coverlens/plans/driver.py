@@ -25,7 +25,7 @@ from coverlens.operators import geography as geo
 from coverlens.operators import matching as mt
 from coverlens.operators import planning as pl
 from coverlens.operators import responses as rs
-from coverlens.plans.tables import Tables, attempts, failure_log, landed_responses, order_plan
+from coverlens.plans.tables import Tables, attempts, failure_log, landed_responses, line_plan, line_responses, order_plan
 from coverlens.schemas import OPTION_DDL
 from coverlens.session import work_dir
 from coverlens.sources import sinks
@@ -304,6 +304,17 @@ def q_response_defaults(spark, sf):
                     F.coalesce(r["z"].try_cast("long"), F.lit(0).cast("long")).alias("z"))
 
 
+@register("response_nulls", """
+SELECT CAST(l_suppkey AS VARCHAR) AS zip_code, CAST(l_partkey AS VARCHAR) AS procedure_code,
+  CAST(l_partkey AS VARCHAR) AS drug_name FROM lineitem GROUP BY l_suppkey, l_partkey
+HAVING NOT bool_or(CASE l_linenumber % 3 WHEN 0 THEN false WHEN 1 THEN true ELSE l_discount <= 0 END)""")
+def q_response_nulls(spark, sf):
+    """Groups without a favourable offer, where every third estimate is an explicit null and every third is absent."""
+    fact = rs.extract_prices(line_responses(Tables(spark, sf)), line_plan(Tables(spark, sf)), key="line_key",
+                             ingest_ts=F.lit("2024-01-01 00:00:00"))
+    return cov.no_favorable(fact, ["zip_code", "procedure_code"], "estimated_member_responsibility", ["drug_name"], "pharmacy_gsn")
+
+
 @register("response_yield", """
 SELECT o_orderkey, CAST(2 * count(l_orderkey) AS BIGINT) AS n_rows FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
 GROUP BY 1""")

@@ -81,6 +81,28 @@ def order_plan(t: Tables) -> DataFrame:
     )
 
 
+def _line_key() -> Column:
+    return F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+def line_responses(t: Tables) -> DataFrame:
+    """One response for each order line; its estimate is an explicit null, absent, or the discount, by line number."""
+    care = F.when(F.col("l_linenumber") % 3 == 0, F.lit('{"estimatedMemberResponsibility": null}')).when(
+        F.col("l_linenumber") % 3 == 1, F.lit("{}")).otherwise(
+        F.concat(F.lit('{"estimatedMemberResponsibility": '), F.col("l_discount").cast("string"), F.lit("}")))
+    body = F.concat(F.lit('{"pharmacies": [{"gsn": "'), _line_key(), F.lit('", "careEstimateResult": '), care, F.lit("}]}"))
+    return t("lineitem").select(_line_key().alias("line_key"), body.alias("body"))
+
+
+def line_plan(t: Tables) -> DataFrame:
+    """Plan rows keyed like ``line_responses``: supplier as location, part as catalogue code."""
+    part = F.col("l_partkey").cast("string")
+    return t("lineitem").select(
+        _line_key().alias("line_key"), F.lit("").alias("state"), F.col("l_suppkey").cast("string").alias("zip_code"), F.lit("").alias("city"),
+        F.lit(0.0).alias("lat"), F.lit(0.0).alias("lng"), part.alias("procedure_code"), part.alias("drug_name"),
+        F.lit("").alias("dosage_form"), F.lit(0).cast("long").alias("claim_count"))
+
+
 def failure_log(t: Tables) -> DataFrame:
     """A collector log derived from events: one line per event, line number = event_id.
 
