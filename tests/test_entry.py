@@ -26,11 +26,20 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    own = {*E.driver.QUERIES, *E.stream_bindings.QUERIES}
+    missing = own - set(E.oracle_sql())
     assert missing == set(), missing
+    assert own <= set(E.queries())
 
 
-FAST = ["batch_slice", "catalog_rejects", "plan_order", "response_rows", "unfavorable_lineitem", "code_match",
+def test_entry_works_without_the_optional_parts(monkeypatch):
+    find = E.importlib.util.find_spec
+    monkeypatch.setattr(E.importlib.util, "find_spec", lambda name: None if name in ("coverlens.llm", "corpus_pipeline") else find(name))
+    assert set(E.queries()) == {*E.driver.QUERIES, *E.stream_bindings.QUERIES}
+    assert set(E.oracle_sql()) == set(E.queries())
+
+
+FAST = ["batch_slice", "catalog_rejects", "plan_order", "response_rows", "response_nulls", "map_upsert", "code_intersection", "locate", "unfavorable_lineitem", "code_match",
         "log_failures", "auto_stop_ledger", "lookup_progress", "list_clean"]
 
 
