@@ -20,7 +20,7 @@ SHARE_PERCENT = 150
 MAX_EPOCHS = 2
 SEED = 20240229
 #: Documents of a bucket of the hash order; a bucket is one window partition.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 
 
 def word_count(text: Column) -> Column:
