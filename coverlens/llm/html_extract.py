@@ -367,13 +367,14 @@ def composed_page(seed: int) -> str:
 def fit(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAGES, composed: int = COMPOSED_PAGES) -> Model:
     """Weights from ``composed`` labelled pages and at most ``sample_pages`` pages of the table that have one article.
 
-    The sample is the least pages by a hash of their text, so it does not depend on the order
-    of the rows; it is the only thing that is bounded here, every page is extracted.
+    The sample is chosen by a hash of the pages, so it does not depend on the order of the rows,
+    and only it is sent to the driver; nothing else is bounded here, every page is extracted.
     """
-    size = F.length(quoted(html_col))
-    got = (pages.filter(quoted(html_col).contains("<article") & (size < 60_000))
-           .select(quoted(html_col).alias("html"), F.xxhash64(quoted(html_col)).alias("h"))
-           .orderBy("h").limit(sample_pages).collect())
+    scale = 1 << 30
+    share = min(scale, -(-scale * sample_pages // max(1, pages.count())))
+    got = (pages.filter((F.pmod(F.xxhash64(quoted(html_col)), F.lit(scale)) < share) & quoted(html_col).contains("<article"))
+           .select(quoted(html_col).alias("html")).limit(2 * sample_pages).collect())
+    got = sorted(got, key=lambda r: r.html)
     trees = [parse(composed_page(i)) for i in range(composed)]
     trees += [t for t in (parse(r.html) for r in got) if sum(n.tag == "article" for n in t.nodes) == 1]
     return train([(t, own_labels(t)) for t in trees])
