@@ -104,7 +104,7 @@ def plan_index(n: int, dim: int, threshold: float = THRESHOLD, probes: int = PRO
 
 
 def _clean(batches: Iterable) -> Iterator:
-    """Mapper: (id, vector) -> id, key of the vector's values (null when it links with nothing), length, values as doubles."""
+    """Mapper: (id, vector) -> id, key of the vector's values (null when it links with nothing), length, values as given."""
     import pyarrow as pa
 
     for batch in batches:
@@ -114,7 +114,8 @@ def _clean(batches: Iterable) -> Iterator:
             v = v.values if ok and v.is_valid else None
             x = None
             if v is not None and len(v) and not v.null_count:
-                x = v.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0
+                x = v.to_numpy(zero_copy_only=False)
+                x = x.astype(np.float32 if x.dtype == np.float32 else np.float64) + x.dtype.type(0)  # no negative zeros
                 x = x if np.isfinite(x).all() and x.any() else None
             keys.append(None if x is None else hashlib.blake2b(x.tobytes(), digest_size=16).digest())
             sizes.append(None if x is None else len(x))
@@ -123,8 +124,10 @@ def _clean(batches: Iterable) -> Iterator:
                                           pa.array(blobs, pa.binary())], ["vec_id", "key", "dim", "vec"])
 
 
-def _unit(blobs: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1)
+def _unit(blobs: list[bytes], dim: int) -> np.ndarray:
+    """Vectors of one length scaled to length 1, in double precision."""
+    kind = np.float32 if len(blobs[0]) == 4 * dim else np.float64
+    x = np.frombuffer(b"".join(blobs), kind).reshape(len(blobs), dim).astype(np.float64)
     x = x / np.abs(x).max(1, keepdims=True)  # no overflow in the squares
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
@@ -140,7 +143,7 @@ def _file(index: Index):
                 dims = batch.column(2).to_numpy()
                 for dim in np.unique(dims):
                     part = batch.filter(pa.array(dims == dim))
-                    codes = bucket_codes(_unit(part.column(3).to_pylist()), index)
+                    codes = bucket_codes(_unit(part.column(3).to_pylist(), int(dim)), index)
                     n, tables, probes = codes.shape
                     each = np.repeat(np.arange(n), tables * probes)
                     blobs = pa.array([c.tobytes() for c in codes], pa.binary())
@@ -159,7 +162,7 @@ def _verify(threshold: float, tables: int):
         left, right = [r for r in rows if r[0] == 0], [r for r in rows if r[0] == 1]
         if len(rows) < 2 or not left or (name[3] != name[4] and not right):
             return []
-        x = _unit([r[3] for r in rows])
+        x = _unit([r[3] for r in rows], name[1])
         codes = np.frombuffer(b"".join(r[4] for r in rows), np.int64).reshape(len(rows), tables, -1)
         copies = np.array([r[2] for r in rows], np.int64)
         ids = [r[1] for r in rows]
