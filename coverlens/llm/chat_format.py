@@ -113,11 +113,13 @@ def format_chat(df: DataFrame, template: Template = Template(), conv_col: str =
         run, f"conv_id {kind}, position long, state string, order_ok boolean, segments {SEGMENTS}")
 
 
-def read_back(turns: DataFrame, template: Template = Template()) -> DataFrame:
+def read_back(turns: DataFrame, template: Template = Template(), in_order: bool = False) -> DataFrame:
     """One row per conversation, from formatted turns alone: turn count, digests, loss text, sizes, validity.
 
     Roles and texts are parsed out of the formatted text; digests are fed piece by piece, so a
-    conversation of any length needs the memory of one turn.
+    conversation of any length needs the memory of one turn.  ``in_order`` says that the rows come
+    as ``format_chat`` leaves them, each conversation in one partition and in order; they are not
+    dealt out a second time then.
     """
     kind = turns.schema["conv_id"].dataType.simpleString()
 
@@ -156,7 +158,7 @@ def read_back(turns: DataFrame, template: Template = Template()) -> DataFrame:
         if acc is not None:
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(done(), types, strict=True)], names)
 
-    return _ordered(turns, "conv_id", ["position"]).mapInArrow(
+    return (turns if in_order else _ordered(turns, "conv_id", ["position"])).mapInArrow(
         run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
              "formatted_chars long, valid boolean")
 
@@ -169,7 +171,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = spark.createDataFrame(PLANTED, "conv_id long, turn long, role string, text string")
     rows = (spark.read.parquet(f"{sf_dir}/conversations.parquet")
             .select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(planted))
-    return read_back(format_chat(rows))
+    return read_back(format_chat(rows), in_order=True)
 
 
 OP2_SQL = r"""

@@ -29,6 +29,7 @@ def test_conversations_read_back(spark):
     rng.shuffle(rows)
     df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, position int")
     got = {r.conv_id: r for r in read_back(format_chat(df)).collect()}
+    assert {r.conv_id: r for r in read_back(format_chat(df), in_order=True).collect()} == got
     want = {}
     for c in {r[0] for r in rows}:
         mine = sorted((r[1] is not None, r[1] or 0, r[2] or "", r[3] or "") for r in rows if r[0] == c)
