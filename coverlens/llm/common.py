@@ -33,8 +33,8 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-#: Bits of a table of hashes: a fixed 64 KB, whatever the data.
-TABLE_BITS = 19
+#: Bits of a table of hashes: a fixed 32 KB, whatever the data.
+TABLE_BITS = 18
 
 
 def seen_table(hashes: DataFrame, bits: int = TABLE_BITS) -> Callable[[Column], Column]:

@@ -12,12 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coverlens.llm.common import free_prefix, quoted, save
+from coverlens.llm.common import free_prefix, quoted, save, seen_table
 
 GRAM = 5
 PERCENT = 80
 #: Slots of the table of token counts that the rarity order is taken from (its size is fixed).
-RARITY_SLOTS = 1 << 17
+RARITY_SLOTS = 1 << 16
 _BLANKS = r"[\x20\x09-\x0D]+"
 
 
@@ -52,7 +52,7 @@ def _rarity(lines: DataFrame, slots: int) -> Column:
     level = ["0"] * slots
     for r in counts.toLocalIterator():
         level[r.slot] = str(r.level)
-    return F.split(F.lit(",".join(level)), ",").cast("array<tinyint>")
+    return F.split(F.lit(",".join(level)), ",").cast("array<bigint>")
 
 
 def _plain(df: DataFrame, value: Column, *keep: str) -> DataFrame:
@@ -62,7 +62,7 @@ def _plain(df: DataFrame, value: Column, *keep: str) -> DataFrame:
 
 def _ordered(df: DataFrame, rarity: Column, slots: int, *keep: str) -> DataFrame:
     """``keep`` and ``tokens``: distinct, rarest first (the count's logarithm in the top bits, the token's hash below)."""
-    ranked = F.transform("tokens", lambda t: F.shiftleft(F.get(rarity, t.bitwiseAND(slots - 1).cast("int")).cast("long"), 57)
+    ranked = F.transform("tokens", lambda t: F.shiftleft(F.get(rarity, t.bitwiseAND(slots - 1).cast("int")), 57)
                          .bitwiseOR(F.shiftrightunsigned(t, 7)))
     got = _plain(df, ranked, *keep)
     return _plain(got, F.sort_array(F.array_distinct("v")), *keep).withColumnRenamed("v", "tokens")
@@ -119,19 +119,23 @@ def line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           & passes(F.col("n"), F.col("i"), F.col("hub.n"), F.col("hub.i")))
             .select(F.col("key").alias("x"), F.col("hub.key").alias("y")).select(*pair).distinct())
 
-    # Whole sets of the lines that meet another one, read again from the document of their first occurrence.
-    members = shared.select("key").distinct().join(sets, "key").select(
-        "key", F.col("first.doc_id").alias("m_id"), F.col("first.thash").alias("m_thash"), F.col("first.line_no").alias("m_line"))
-    wanted = members.groupBy("m_id", "m_thash").agg(F.collect_list("m_line").alias("numbers"))
-    there = (base.join(wanted, base["doc_id"].eqNullSafe(wanted["m_id"]) & (base["thash"] == wanted["m_thash"]))
-             .select(F.split("text", "\n", -1).alias("all"), "numbers"))
-    one = there.select(F.explode(F.transform("numbers", lambda k: _words(F.get("all", k)))).alias("words"))
-    one = _ordered(_plain(one, F.col("words")).select(_tokens(F.col("v"), gram).alias("tokens")), rarity, slots)
-    texts = save(one.select(F.xxhash64("tokens").alias("key"), "tokens").dropDuplicates(["key"])
-                 .join(sets.select("key", "first"), "key"))
+    def whole_sets(keys: DataFrame) -> DataFrame:
+        """key, tokens, first of some sets, read again from the document of their first occurrence."""
+        wanted = save(keys.join(sets, "key").groupBy(F.col("first.doc_id").alias("m_id"), F.col("first.thash").alias("m_thash"))
+                      .agg(F.collect_list("first.line_no").alias("numbers")))
+        here = seen_table(wanted.select(F.col("m_thash").alias("h")))
+        there = (base.filter(here(F.col("thash")))
+                 .join(wanted, base["doc_id"].eqNullSafe(wanted["m_id"]) & (base["thash"] == wanted["m_thash"]))
+                 .select(F.split("text", "\n", -1).alias("all"), "numbers"))
+        one = there.select(F.explode(F.transform("numbers", lambda k: _words(F.get("all", k)))).alias("words"))
+        one = _ordered(_plain(one, F.col("words")).select(_tokens(F.col("v"), gram).alias("tokens")), rarity, slots)
+        return save(one.select(F.xxhash64("tokens").alias("key"), "tokens").dropDuplicates(["key"])
+                    .join(sets.select("key", "first"), "key"))
 
     def late(pairs: DataFrame) -> DataFrame:
         """The later set of every pair that is similar."""
+        pairs = save(pairs)
+        texts = whole_sets(pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct())
         a = texts.select(F.col("key").alias("x"), F.col("tokens").alias("xt"), F.col("first").alias("xf"))
         b = texts.select(F.col("key").alias("y"), F.col("tokens").alias("yt"), F.col("first").alias("yf"))
         both = F.size(F.array_intersect("xt", "yt"))
@@ -165,18 +169,22 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A document whose words are all removed goes; one that had none stays as it is.
     """
     t = free_prefix(docs.columns, "ld_")
-    cut = removed_lines(docs, id_col=id_col, text_col=text_col, **options).select(
-        F.col("doc_id").alias(t + "id"), F.col("thash").alias(t + "hash"), F.col("gone").alias(t + "gone"))
-    rows = docs.join(cut, quoted(id_col).eqNullSafe(F.col(t + "id")) & (F.xxhash64(quoted(text_col)) == F.col(t + "hash")), "left")
+    cut = save(removed_lines(docs, id_col=id_col, text_col=text_col, **options).select(
+        F.col("doc_id").alias(t + "id"), F.col("thash").alias(t + "hash"), F.col("gone").alias(t + "gone")))
+    # Documents that surely lose nothing are not shuffled.
+    loses = seen_table(cut.select(F.col(t + "hash").alias("h")))(F.xxhash64(quoted(text_col)))
+    rows = docs.filter(loses).join(
+        cut, quoted(id_col).eqNullSafe(F.col(t + "id")) & (F.xxhash64(quoted(text_col)) == F.col(t + "hash")), "left")
     # The numbers are sorted, so each gap between two of them is a slice of the lines.
     gone = F.col(t + "gone")
     parts = F.split(quoted(text_col), "\n", -1)
     edges = F.arrays_zip(F.concat(F.array(F.lit(-1)), gone).alias("a"), F.concat(gone, F.array(F.size(parts))).alias("b"))
     kept = F.flatten(F.transform(edges, lambda e: F.slice(parts, e["a"] + 2, e["b"] - e["a"] - 1)))
     text = F.when(gone.isNull(), quoted(text_col)).otherwise(F.array_join(kept, "\n"))
-    return (rows.withColumn(t + "new", text)
-            .filter(gone.isNull() | F.col(t + "new").rlike(r"[^\x20\x09-\x0D]"))
-            .select(*[F.col(t + "new").alias(c) if c.lower() == text_col.lower() else quoted(c) for c in docs.columns]))
+    cleaned = (rows.withColumn(t + "new", text)
+               .filter(gone.isNull() | F.col(t + "new").rlike(r"[^\x20\x09-\x0D]"))
+               .select(*[F.col(t + "new").alias(c) if c.lower() == text_col.lower() else quoted(c) for c in docs.columns]))
+    return docs.filter(~loses).unionByName(cleaned)
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
