@@ -13,6 +13,7 @@ from coverlens.llm import (
     html_extract,
     language_id,
     line_dedup,
+    merkle_manifest,
     mixing,
     ngram_join,
     url_filter,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": ngram_join.op8_ngram_jaccard,
     "op9_html_extract": html_extract.op9_html_extract,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op11_merkle_manifest": merkle_manifest.op11_merkle_manifest,
 }
 
 #: Queries whose rows SQL can state; the others are tested against brute force in tests/llm.
@@ -39,4 +41,5 @@ ORACLES: dict[str, str] = {
     "op4_warc_fixity": warc_fixity.OP4_SQL,
     "op6_line_dedup": line_dedup.OP6_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,
+    "op11_merkle_manifest": merkle_manifest.OP11_SQL,
 }
