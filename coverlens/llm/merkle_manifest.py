@@ -114,38 +114,41 @@ def leaf_digest(values: Sequence[Column]) -> Column:
 
 
 def _append(fanout: int, levels: int):
-    """Mapper over nodes (tree, block, pos, size, digest) in order: each node's witness, and each block's root (null pos)."""
+    """Mapper over nodes (tree, block, pos, size, digest, ...) in order: each node's witness, and each block's root (null pos).
+
+    Further columns stay with their nodes.
+    """
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        names = ["tree", "block", "pos", "size", "digest", "witness"]
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-        block, open_to, nodes = None, None, []
+        block, open_to, nodes, schema = None, None, [], None
 
         def closed() -> list[tuple]:
             root = open_to.finish()
-            out = [(*block[:2], pos, block[2], None, s.witness()) for pos, s in nodes]
-            return [*out, (*block[:2], None, -(-block[2] // fanout**levels), root, None)]
+            out = [(*block[:2], pos, block[2], None, *rest, s.witness()) for pos, rest, s in nodes]
+            return [*out, (*block[:2], None, -(-block[2] // fanout**levels), root, *(None for _ in nodes[0][1]), None)]
 
         def made(rows: list[tuple]):
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
         for batch in batches:
+            schema = pa.schema([pa.field(f.name, f.type) for f in batch.schema] + [pa.field("witness", pa.binary())])
             out: list[tuple] = []
-            for tree, at, pos, size, digest in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for tree, at, pos, size, digest, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if block is None or (tree, at) != block[:2]:
                     out += closed() if block else []
                     block, nodes = (tree, at, size), []
                     open_to = Appender(min(levels, levels_of(size, fanout)), fanout)
-                nodes.append((pos, open_to.append(digest)))
+                nodes.append((pos, rest, open_to.append(digest)))
             yield made(out)
-        yield made(closed() if block else [])
+        if block:
+            yield made(closed())
 
     return run
 
 
 def append_all(nodes: DataFrame, fanout: int = FANOUT, levels: int = BLOCK_LEVELS) -> tuple[DataFrame, DataFrame]:
-    """Witnesses (tree, pos, witness) of nodes (tree, pos from 0, size of the tree, digest), and roots (tree, digest).
+    """Nodes (tree, pos from 0, size of the tree, digest, further columns) with their witness instead of the digest, and roots (tree, digest).
 
     A round deals the nodes into aligned blocks and appends to all of them at once; the blocks'
     roots are the next round's nodes.  Rounds go on until each tree is one node, which takes the
@@ -153,19 +156,20 @@ def append_all(nodes: DataFrame, fanout: int = FANOUT, levels: int = BLOCK_LEVEL
     """
     wide = fanout**levels
     rounds, more = [], True
+    extra = [c for c in nodes.columns if c not in ("tree", "pos", "size", "digest")]
+    carried = extra
     while more:
-        dealt = nodes.select("tree", F.floor(F.col("pos") / wide).cast("long").alias("block"), "pos", "size", "digest")
+        dealt = nodes.select("tree", F.floor(F.col("pos") / wide).cast("long").alias("block"), "pos", "size", "digest", *extra)
         out = save(dealt.repartition("tree", "block").sortWithinPartitions("tree", "block", "pos").mapInArrow(
-            _append(fanout, levels), "tree string, block long, pos long, size long, digest binary, witness binary"))
-        rounds.append(out.filter("pos is not null").select("tree", "block", "pos", "witness"))
-        nodes = out.filter("pos is null").select("tree", F.col("block").alias("pos"), "size", "digest")
+            _append(fanout, levels), ", ".join(f"{c} {t}" for c, t in [*dealt.dtypes, ("witness", "binary")])))
+        rounds.append(out.filter("pos is not null").select("tree", "block", "pos", *extra, "witness"))
+        nodes, extra = out.filter("pos is null").select("tree", F.col("block").alias("pos"), "size", "digest"), []
         more = nodes.filter("size > 1").limit(1).count() > 0
-    whole = rounds.pop().select("tree", "pos", "witness")
+    whole = rounds.pop()
     while rounds:
         above = whole.select("tree", F.col("pos").alias("block"), F.col("witness").alias("rest"))
-        whole = (rounds.pop().join(above, ["tree", "block"])
-                 .select("tree", "pos", F.concat("witness", "rest").alias("witness")))
-    return whole, nodes.select("tree", "digest")
+        whole = rounds.pop().join(above, ["tree", "block"]).withColumn("witness", F.concat("witness", "rest"))
+    return whole.select("tree", "pos", *carried, "witness"), nodes.select("tree", "digest")
 
 
 def _prove(batches: Iterable) -> Iterator:
@@ -211,8 +215,8 @@ def manifest(df: DataFrame, by: str = "lang", order: str = "doc_id", columns: Se
     leaves = save(df.select(
         own[order.lower()].alias("id"), F.when(key.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), key)).alias("tree"),
         leaf_digest(values).alias("leaf"), leaf_digest([given.get(c.lower(), v) for c, v in zip(columns, values, strict=True)]).alias("given")))
-    numbered = save(running_scan(leaves, ["tree"], ["id", "leaf"], ordinal="n", group_size="size"))
-    nodes = numbered.select("tree", (F.col("n") - 1).alias("pos"), "size", F.col("leaf").alias("digest"))
+    numbered = running_scan(leaves, ["tree"], ["id", "leaf"], ordinal="n", group_size="size")
+    nodes = numbered.select("tree", (F.col("n") - 1).alias("pos"), "size", F.col("leaf").alias("digest"), "id", "leaf", "given")
     witnesses, subroots = append_all(nodes, fanout, levels)
     subroots = save(subroots)
     trees = save(running_scan(subroots.withColumn("all", F.lit("")), ["all"], ["tree"], ordinal="n", group_size="size"))
@@ -221,7 +225,7 @@ def manifest(df: DataFrame, by: str = "lang", order: str = "doc_id", columns: Se
            .join(tops.select(F.col("tree").alias("all"), "pos", F.col("witness").alias("rest")), ["all", "pos"])
            .join(root.select(F.col("tree").alias("all"), F.col("digest").alias("root")), "all")
            .select("tree", "subroot", "rest", "root"))
-    proven = (numbered.withColumn("pos", F.col("n") - 1).join(witnesses, ["tree", "pos"]).join(top, "tree")
+    proven = (witnesses.join(top, "tree")
               .select("id", "leaf", "given", "subroot", "root", F.concat("witness", "rest").alias("witness")))
     kind = dict(proven.dtypes)["id"]
     return proven.mapInArrow(_prove, f"id {kind}, leaf string, subroot string, root string, proof_sha256 string, folded_root string, "

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from coverlens.llm import (
     chat_format,
+    context_tree,
     decontaminate,
     embedding_dedup,
     html_extract,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_extract": html_extract.op9_html_extract,
     "op10_decontamination": decontaminate.op10_decontamination,
     "op11_merkle_manifest": merkle_manifest.op11_merkle_manifest,
+    "op12_lm_scoring": context_tree.op12_lm_scoring,
 }
 
 #: Queries whose rows SQL can state; the others are tested against brute force in tests/llm.
