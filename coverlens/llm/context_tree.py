@@ -280,11 +280,11 @@ def _walk(depth: int, top: int, buckets: int):
 
 
 def _answer(requests, known):
-    """Groups of a bucket: requests, and (kind, keys, values) -> (chunk, kind, keys, values) for each request."""
+    """Groups of a bucket: requests, and (kind, keys, values) -> (chunk, bucket, kind, values) for each request, in the order of its keys."""
     import pyarrow as pa
 
-    schema = [("chunk", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("vals", pa.binary())]
-    rows = []
+    schema = [("chunk", pa.int32()), ("bucket", pa.int32()), ("kind", pa.int32()), ("vals", pa.binary())]
+    bucket, rows = requests.column("bucket")[0].as_py(), []
     for kind in (0, 1):
         mine = _of_kind(known, kind)
         keys, values = _blobs(mine, "keys"), _blobs(mine, "vals", np.float64)
@@ -292,22 +292,22 @@ def _answer(requests, known):
         keys, values = keys[order], values[order]
         asked = _of_kind(requests, kind)
         for chunk, blob in zip(asked.column("chunk").to_pylist(), asked.column("keys").to_pylist(), strict=True):
-            rows.append((chunk, kind, blob, values[np.searchsorted(keys, np.frombuffer(blob, np.uint64))].tobytes()))
+            rows.append((chunk, bucket, kind, values[np.searchsorted(keys, np.frombuffer(blob, np.uint64))].tobytes()))
     return _table(schema, rows)
 
 
-def _score(depth: int, tokens: int, distinct: int, ends: int):
+def _score(depth: int, buckets: int, tokens: int, distinct: int, ends: int):
     """Groups of a chunk: texts and answers -> a row for each text."""
     def run(texts, answers):
         import pyarrow as pa
 
-        known = {}
-        for kind in (0, 1):
-            mine = _of_kind(answers, kind)
-            keys, values = _blobs(mine, "keys"), _blobs(mine, "vals", np.float64)
-            order = np.argsort(keys)
-            known[kind] = keys[order], values[order]
         raw = utf8(texts.column("text"))
+        known = {}
+        for kind, (keys, _) in chunk_counts(raw, np.zeros(len(raw), bool), depth).items():
+            # The same keys as were asked for; answers come by bucket, in the keys' order.
+            values = np.empty(len(keys))
+            values[np.argsort(_part(keys, buckets), kind="stable")] = _blobs(_of_kind(answers, kind).sort_by("bucket"), "vals", np.float64)
+            known[kind] = keys, values
         score = np.zeros(len(raw))
         for codes, owner, starts in byte_grams(raw, depth):
             p = known[0][1][np.searchsorted(known[0][0], codes)]
@@ -362,9 +362,9 @@ def score_texts(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
         _walk(depth, top, chunks), "bucket int, kind int, keys binary, vals binary")
     counts = totals.filter("kind = 1").select("bucket", "kind", "keys", "counts").mapInArrow(_as_values, values.schema)
     answers = asked.select("bucket", "kind", "chunk", "keys").groupBy("bucket").cogroup(
-        values.unionByName(counts).groupBy("bucket")).applyInArrow(_answer, "chunk int, kind int, keys binary, vals binary")
+        values.unionByName(counts).groupBy("bucket")).applyInArrow(_answer, "chunk int, bucket int, kind int, vals binary")
     scored = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _score(depth, tokens, distinct, ends),
+        _score(depth, chunks, tokens, distinct, ends),
         f"id {dict(rows.dtypes)['id']}, learn boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long, bits_per_byte double")
     return scored.withColumn("train_tokens", F.lit(tokens).cast("long"))
 
