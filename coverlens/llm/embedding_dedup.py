@@ -100,7 +100,7 @@ def plan_index(n: int, dim: int, threshold: float = THRESHOLD, probes: int = PRO
     a, b = bucket_codes(x, trial), bucket_codes(threshold * x + math.sqrt(max(0.0, 1 - threshold**2)) * r, trial)
     rate = float((a[:, :, :, None] == b[:, :, None, :]).any((2, 3)).mean())
     tables = math.ceil(math.log(miss) / math.log(max(1e-9, 1 - min(rate, 1 - 1e-9))))
-    return Index(hashes, min(64, max(2, tables)), probes, seed)
+    return Index(hashes, max(2, tables), probes, seed)
 
 
 def _clean(batches: Iterable) -> Iterator:

@@ -16,14 +16,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coverlens.llm.common import quoted
+from coverlens.llm.common import free_prefix, quoted
 
 ORDERS = (1, 2, 3)
 #: Hashed features; all tables have this many rows, whatever the data.
 FEATURES = 1 << 15
 #: Bound of the labelled sample that the weights are fitted on: documents of one language, by hash of text.
 SAMPLE_PER_LANG = 1500
-MAX_LANGS = 200
+MAX_LANGS = 500
+#: Texts that weights are fitted on, over all languages.
+SAMPLE_TOTAL = 100_000
 EPOCHS = 2
 UNDETERMINED = "und"
 #: The pipeline rejects texts whose language is undetermined or less certain than this.
@@ -180,26 +182,28 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        sample_per_lang: int = SAMPLE_PER_LANG, max_langs: int = MAX_LANGS) -> Model | None:
+        sample_per_lang: int = SAMPLE_PER_LANG, max_langs: int = MAX_LANGS, sample_total: int = SAMPLE_TOTAL) -> Model | None:
     """Learns from texts with a language whose id may be learned from; None if there are none.
 
     Document frequencies cover all of these; the weights are fitted on the distinct texts of a
     sample of about ``sample_per_lang`` documents of each language, chosen by a hash of the
-    text.  More than ``max_langs`` languages are an error, as the tables would outgrow a worker.
+    text, and of about ``sample_total`` in all.  At most ``max_langs`` languages are learnt, those
+    with the most documents (ties by code point): one column of weights each is what a worker
+    holds.  A column of many more values than that is not one of languages.
     """
     rows = (docs.filter(learns(id_col)).select(quoted(text_col).alias("text"), quoted(lang_col).alias("lang"))
             .filter(F.col("text").isNotNull() & F.col("lang").isNotNull()))
-    counts = sorted((r.lang, r.n) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(max_langs + 1).collect())
-    if len(counts) > max_langs:
-        raise ValueError(f"more than {max_langs} languages")
+    counts = sorted((r.lang, r.n) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+                    .orderBy(F.col("n").desc(), "lang").limit(max_langs).collect())
     if not counts:
         return None
     idf = inverse_frequencies(rows.select("text"))
     langs = [lang for lang, _ in counts]
     scale = 1 << 30
     chosen = F.pmod(F.xxhash64("text"), F.lit(scale))
-    limit = F.create_map(*[F.lit(x) for lang, n in counts for x in (lang, min(scale, math.ceil(scale * sample_per_lang / n)))])
-    sample = rows.filter(chosen < limit[F.col("lang")]).dropDuplicates(["text", "lang"])
+    wanted = max(1, min(sample_per_lang, sample_total // len(counts)))
+    limit = F.create_map(*[F.lit(x) for lang, n in counts for x in (lang, min(scale, math.ceil(scale * wanted / n)))])
+    sample = rows.filter(chosen < F.coalesce(limit[F.col("lang")], F.lit(0))).dropDuplicates(["text", "lang"])
     number = {lang: i for i, lang in enumerate(langs)}
     schema = "langs array<string>, weights binary, bias binary, temperature double"
 
@@ -260,8 +264,9 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
     if model is None:
         return docs.select(*[quoted(c) for c in keep], F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*[quoted(c) for c in keep], quoted(text_col).alias("text_to_score"))
-    schema = rows.drop("text_to_score").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    read = free_prefix([*keep, "lang_pred", "score"], "text_to_score")
+    rows = docs.select(*[quoted(c) for c in keep], quoted(text_col).alias(read))
+    schema = rows.drop(read).withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
     return rows.mapInArrow(_scorer(shared), schema)
 
 

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coverlens.llm.common import components, quoted, save, seen_table
+from coverlens.llm.common import components, free_prefix, quoted, save, seen_table
 from coverlens.llm.words import BLANKS, U, distinct_sorted, gram_hashes, mix, utf8, word_hashes
 
 GRAM = 5
@@ -332,8 +332,9 @@ def first_of_class(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFr
     rows without an id too.
     """
     classes = similar_classes(docs, id_col, **options)
-    gone = classes.filter("n_shingles > 0 and component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, quoted(id_col) == F.col("gone_id"), "left_anti")
+    name = free_prefix(docs.columns, "gone_id")
+    gone = classes.filter("n_shingles > 0 and component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, quoted(id_col) == F.col(name), "left_anti")
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

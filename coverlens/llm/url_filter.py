@@ -98,8 +98,8 @@ def filter_urls(df: DataFrame, rules: DataFrame, url_col: str = "url", default:
                     (F.col("r_verdict") == "block").alias("c"), rule_text.alias("rule"), F.col("r_verdict").alias("v"))
     best = (expressions.join(ruled, "r_prefix").filter("digest = r_digest")
             .groupBy("host", "path").agg(F.max(rank).alias(key))
-            .select(F.col("host").alias("b_host"), F.col("path").alias("b_path"), key))
-    joined = rows.join(best, (rows["host"] == best["b_host"]) & (rows["path"] == best["b_path"]), "left")
+            .select(F.col("host").alias(f"{key}host"), F.col("path").alias(f"{key}path"), key))
+    joined = rows.join(best, (rows["host"] == best[f"{key}host"]) & (rows["path"] == best[f"{key}path"]), "left")
     return joined.select(*rest, rows["host"], rows["path"], F.col(f"{key}.rule").alias("rule"),
                          F.coalesce(F.col(f"{key}.v"), F.lit(default)).alias("verdict"))
 

@@ -74,3 +74,9 @@ def test_rotation_and_recall():
     assert met.mean() > 0.995
     far = (ca[:-1, :, :, None] == ca[1:, :, None, :]).any((1, 2, 3))
     assert far.mean() < 0.1
+
+
+def test_tables_follow_the_miss_rate():
+    """A low threshold asks for many tables; their number is not cut."""
+    few, many = plan_index(1000, 64, 0.9), plan_index(1000, 64, 0.2)
+    assert few.tables < 64 < many.tables

@@ -78,3 +78,25 @@ def test_temperature():
     p = np.exp(logits) / np.exp(logits).sum(1, keepdims=True)
     y = np.array([rng.choice(3, p=q) for q in p])
     assert li.fit_temperature(5 * logits, y) == pytest.approx(5, rel=0.15)
+
+
+def test_extra_columns_with_working_names(spark):
+    rows = [(i, "the cat and the dog" if i % 2 else "le chat et le chien", "en" if i % 2 else "fr", 5, "x") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, text_to_score int, Text_To_Score_ string")
+    model = li.fit(df)
+    got = li.predict(df, model).collect()
+    assert {(r.text_to_score, r.Text_To_Score_) for r in got} == {(5, "x")} and len(got) == 60
+    assert li.accepted(df).columns == df.columns
+
+
+def test_more_language_values_than_are_learnt(spark):
+    """A dirty column: the languages with the most documents are learnt, nothing raises."""
+    rows = [(i, "the cat and the dog sat" if i % 2 else "le chat et le chien", "en" if i % 2 else "fr") for i in range(400)]
+    rows += [(1000 + i, f"odd text {i}", f"junk{i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = li.fit(df, max_langs=2)
+    assert model.langs == ["en", "fr"]
+    got = {r.doc_id: r.lang_pred for r in li.predict(df, model, keep=["doc_id"]).collect()}
+    assert len(got) == 460 and all(got[i] == ("en" if i % 2 else "fr") for i in range(400))
+    small = li.fit(df, sample_total=50)
+    assert len(small.langs) > 40

@@ -114,3 +114,11 @@ def test_components(spark):
     got = {r.node: r.root for r in components(df).collect()}
     assert got == {x: r for x, r in root.items() if any(x in e and e[0] != e[1] for e in edges)}
     assert components(df.limit(0)).collect() == []
+
+
+def test_extra_columns_with_working_names(spark):
+    same = "one two three four five six seven eight"
+    df = spark.createDataFrame([(1, same, 7, "a"), (2, same, 8, "b"), (3, "other words stand here now", 9, "c")],
+                               "doc_id long, text string, gone_id int, GONE_ID_ string")
+    got = sorted(tuple(r) for r in first_of_class(df).collect())
+    assert got == [(1, same, 7, "a"), (3, "other words stand here now", 9, "c")]

@@ -49,3 +49,9 @@ def test_empty_tables(spark):
     assert filter_urls(none, rules_frame(spark)).collect() == []
     one = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
     assert [r.verdict for r in filter_urls(one, rules_frame(spark).limit(0)).collect()] == ["allow"]
+
+
+def test_extra_columns_with_working_names(spark):
+    df = spark.createDataFrame([("http://a.org/x", 1, 2, "k")], "url string, b_host int, b_path int, url_key_ string")
+    got = filter_urls(df, rules_frame(spark)).collect()
+    assert [(r.b_host, r.b_path, r.url_key_, r.host, r.verdict) for r in got] == [(1, 2, "k", "a.org", "allow")]
