@@ -11,6 +11,7 @@ from coverlens.llm import (
     context_tree,
     decontaminate,
     embedding_dedup,
+    hard_negatives,
     html_extract,
     language_id,
     line_dedup,
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": decontaminate.op10_decontamination,
     "op11_merkle_manifest": merkle_manifest.op11_merkle_manifest,
     "op12_lm_scoring": context_tree.op12_lm_scoring,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 #: Queries whose rows SQL can state; the others are tested against brute force in tests/llm.
@@ -44,4 +46,5 @@ ORACLES: dict[str, str] = {
     "op6_line_dedup": line_dedup.OP6_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,
     "op11_merkle_manifest": merkle_manifest.OP11_SQL,
+    "op13_hard_negatives": hard_negatives.OP13_SQL,
 }
