@@ -19,20 +19,22 @@ from html.parser import HTMLParser
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coverlens.llm.common import quoted
+from coverlens.llm.common import free_prefix, quoted
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that only mark up the text of the block around them.
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong "
                    "sub sup time tt u var wbr".split())
 #: Elements whose text is never shown as text.
-SILENT = frozenset("head script style template noscript title svg iframe object canvas math textarea select".split())
+SILENT = frozenset("head script style template title iframe textarea select".split())
 #: A block start ends an open paragraph; these end an open element of their own kind too.
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
 #: Labelled pages that the weights are trained on: from the table, and composed ones.
 SAMPLE_PAGES = 200
-COMPOSED_PAGES = 1200
+COMPOSED_PAGES = 1600
+#: A node inside an article of the table counts as content while composed pages alone make it this likely.
+DOUBT = 0.2
 _PART = 128
 
 
@@ -164,7 +166,7 @@ def node_features(tree: Tree) -> list[list[str]]:
         f = ["bias", "tag=" + n.tag, f"links={int(4 * linked[i] / max(1, chars[i]))}", f"own={min(4, _bucket(n.chars) // 2)}",
              f"stops={min(3, _bucket(100 * stops[i] / max(1, chars[i])))}", f"blocks={min(4, blocks[i])}",
              f"share={int(4 * chars[i] / total)}"]
-        f += ["word=" + w for w in set(n.words)]
+        f += ["word=" + w for w in set(n.words)] + ["up=" + w for w in set(nodes[max(0, n.parent)].words) - {"p", "div", "li"}]
         out.append(f)
     return out
 
@@ -226,9 +228,11 @@ def marginals(tree: Tree, model: Model, feats: list[list[str]] | None = None, pa
     return (prob, joint) if pairs else prob
 
 
-def train(pages: Sequence[tuple[Tree, list[int]]], epochs: int = 8, rate: float = 0.3, l2: float = 1e-4) -> Model:
+def train(pages: Sequence[tuple[Tree, list[int]]], epochs: int = 8, rate: float = 0.3, l2: float = 1e-4, start: Model | None = None) -> Model:
     """Maximum conditional likelihood by stochastic gradients: observed minus expected features, from the marginals."""
     model, grad2 = Model(), {}
+    if start:
+        model = Model(dict(start.unary), {k: [list(row) for row in v] for k, v in start.edge.items()})
     rows = [(t, y, node_features(t)) for t, y in pages]
     order = random.Random(5)
 
@@ -261,19 +265,32 @@ def train(pages: Sequence[tuple[Tree, list[int]]], epochs: int = 8, rate: float
     return model
 
 
-def own_labels(tree: Tree) -> list[int]:
-    """Labels of a page: those written in it (``data-label``, inherited), else from its ``article`` element."""
-    labels: list[int] = []
-    written = any(n.label is not None for n in tree.nodes)
-    for n in tree.nodes:
-        above = labels[n.parent] if n.parent >= 0 else 0
+def own_labels(tree: Tree, model: Model | None = None) -> list[int]:
+    """Labels of a page: those written in it (``data-label``, inherited), else from its ``article`` element.
+
+    Elements around labelled ones count as content when at least half of the text in them is.
+    With ``model``, what stands in the article counts as content only where the model does not
+    doubt it, so adverts, forms and comments of readers in there are not learnt as content.
+    """
+    nodes = tree.nodes
+    written = any(n.label is not None for n in nodes)
+    prob = marginals(tree, model) if model and not written else None
+    labels: list[int | None] = []
+    for i, n in enumerate(nodes):
+        above = labels[n.parent] if n.parent >= 0 else None
+        own = n.label if written else 1 if n.tag == "article" and above is None else None
         if n.silent:
             labels.append(0)
-        elif written:
-            labels.append(above if n.label is None else n.label)
+        elif own is not None or above is None:
+            labels.append(own)
         else:
-            labels.append(int(n.tag == "article" or above))
-    return labels
+            labels.append(int(above and (prob is None or prob[i] >= DOUBT)))
+    text = [n.chars for n in nodes]
+    core = [n.chars * (y or 0) for n, y in zip(nodes, labels, strict=True)]
+    for i in range(len(nodes) - 1, 0, -1):
+        text[nodes[i].parent] += text[i]
+        core[nodes[i].parent] += core[i]
+    return [int(2 * c >= t > 0) if y is None else y for y, c, t in zip(labels, core, text, strict=True)]
 
 
 #: Words by which page builders name the parts of a page, one part in each line.
@@ -292,17 +309,23 @@ MAIN = "content main article post entry story body text page maincontent postbod
 
 
 def composed_page(seed: int) -> str:
-    """A labelled page of random layout: parts around and inside an article, labels in ``data-label``."""
+    """A labelled page of random layout: parts around and inside a core of content, labels in ``data-label``.
+
+    Cores are articles, mains, plain or named divisions, or blocks without any element around
+    them, of one short line to long texts; pages may be fragments without ``html`` and ``body``
+    and may have no other parts at all.
+    """
     r = random.Random(seed)
 
-    odd = r.choice(["", "", "", "", "repeat", "bare", "signs"])  # junk texts stand in articles too
+    odd = r.choice(["", "", "", "", "", "repeat", "bare", "signs", "commas"])  # junk texts stand in articles too
 
     def words(n: int, inside: bool = False) -> str:
         if inside and odd == "repeat":
             return " ".join(["tora"] * n)
         out = ["".join(r.choice(["ra", "to", "en", "li", "su", "ka", "do"]) for _ in range(r.randint(1, 4))) for _ in range(n)]
-        marks = ["### ", "$$$", "&amp;&amp;"] if inside and odd == "signs" else [""] if inside and odd else [",", ".", "", "", "", ""]
-        return " ".join(w + r.choice(marks) for w in out).capitalize() + "." * (not (inside and odd))
+        marks = {"signs": ["### ", "$$$", "&amp;&amp;"], "commas": [","], "": [",", ".", "", "", "", ""]}.get(odd if inside else "", [""])
+        end = not odd if inside else r.random() < 0.5
+        return " ".join(w + r.choice(marks) for w in out).capitalize() + "." * end
 
     def named(kind: str) -> str:
         w = r.choice(MAIN.split() if kind == "main" else PARTS[kind].split())
@@ -338,46 +361,65 @@ def composed_page(seed: int) -> str:
 
     def block() -> str:
         return r.choice([
-            *[lambda: f"<p>{words(r.randint(1, 90), True)}</p>"] * 6, lambda: f"<p><b>{words(r.randint(4, 60), True)}<br>",
+            *[lambda: f"<p>{words(r.randint(1, 90), True)}</p>"] * 6, lambda: f"<p><b>{words(r.randint(4, 60), True)}</b><br></p>",
+            lambda: f"<p>{words(r.randint(90, 400), True)}</p>",
             lambda: f"<h2>{words(3, True)}</h2>", lambda: f"<blockquote><p>{words(15, True)}</p></blockquote>",
-            lambda: "<ul>" + "".join(f"<li>{words(r.randint(2, 12), True)}</li>" for _ in range(3)) + "</ul>",
+            lambda: r.choice(["<ul>%s</ul>", "<ol>%s</ol>"]) % "".join(f"<li>{words(r.randint(2, 12), True)}</li>" for _ in range(3)),
             lambda: f"<p>{words(12, True)} <a href='/y'>{words(2)}</a> {words(5, True)}</p>",
-            lambda: f"<table><tr><td>{words(2)}</td><td>{words(2)}</td></tr></table>", lambda: f"<pre>{words(6, True)}</pre>",
-            lambda: f"<div>{words(r.randint(4, 60), True)}</div>", lambda: f"<section><h3>{words(2)}</h3><p>{words(30, True)}</p></section>",
+            lambda: "<table>" + "".join(f"<tr><td>{words(2)}</td><td>{words(2)}</td></tr>" for _ in range(r.randint(1, 4))) + "</table>",
+            lambda: f"<pre>{words(6, True)}</pre>", lambda: f"<div>{words(r.randint(4, 60), True)}</div>",
+            lambda: f"<section><h3>{words(2)}</h3><p>{words(30, True)}</p></section>",
+            lambda: f"<details><summary>{words(3)}</summary><p>{words(r.randint(3, 40), True)}</p></details>",
+            lambda: f"<figure><img src=x><figcaption>{words(r.randint(3, 12), True)}</figcaption></figure>",
+            lambda: "<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", lambda: f"<noscript><p>{words(r.randint(3, 12), True)}</p></noscript>",
+            lambda: f"<dl><dt>{words(1)}</dt><dd>{words(8, True)}</dd></dl>",
         ])()
 
-    inner = [f"<h1>{words(r.randint(1, 6), True)}</h1>"] * (r.random() < 0.8) + [block() for _ in range(r.randint(0 if r.random() < 0.1 else 1, 9))]
-    for kind in r.sample(sorted(set(PARTS) - {"header"}), r.choice([0, 0, 0, 1, 2])):
+    alone = r.random() < 0.2  # nothing but the core
+    inner = [f"<h1>{words(r.randint(1, 6), True)}</h1>"] * (r.random() < 0.7) + [block() for _ in range(r.randint(0 if r.random() < 0.1 else 1, 9))]
+    if r.random() < 0.15:
+        inner = inner[:1] + [f"<p>{words(r.randint(1, 20), True)}</p>"]
+    inner = inner or [f"<p>{words(9, True)}</p>"]
+    for kind in r.sample(sorted(set(PARTS) - {"header"}), 0 if alone else r.choice([0, 0, 0, 1, 2])):
         inner.insert(r.randint(0, len(inner)), part(kind))
-    if r.random() < 0.25:
+    if r.random() < 0.25 and not alone:
         inner.append(part("comments"))
     name = named("main") if r.random() < 0.5 else ""
-    core = r.choice([f"<article{name}>%s</article>"] * 4 + [f"<main{name}>%s</main>", f"<div{named('main')}>%s</div>",
-                                                            f"<main><article{name}>%s</article></main>"])
-    core = re.sub(r"^<(\w+)", r'<\1 data-label="1"', core) % "".join(inner)
-    before = [part(k) for k in ("header", "nav", "notice", "ad", "aside", "form") if r.random() < 0.45]
-    after = [part(k) for k in ("share", "aside", "comments", "ad", "form", "notice", "footer") if r.random() < 0.45]
+    core = r.choice([f"<article{name}>%s</article>"] * 6 + [f"<main{name}>%s</main>"] * 2 + [f"<div{named('main')}>%s</div>"] * 2
+                    + [f"<main><article{name}>%s</article></main>", "<div>%s</div>", "<div>%s</div>", "<section>%s</section>", "%s", "%s"])
+    if core == "%s":
+        core = "".join(x if " data-label=" in x[:x.index(">")] else re.sub(r"^<(\w+)", r'<\1 data-label="1"', x) for x in inner)
+    else:
+        core = re.sub(r"^<(\w+)", r'<\1 data-label="1"', core) % "".join(inner)
+    often = r.choice([0.2, 0.45, 0.45, 0.6]) * (not alone)
+    before = [part(k) for k in ("header", "nav", "notice", "ad", "aside", "form") if r.random() < often]
+    after = [part(k) for k in ("share", "aside", "comments", "ad", "form", "notice", "footer") if r.random() < often]
     r.shuffle(before)
     page = "".join([*before, core, *after])
-    if r.random() < 0.4:
+    if r.random() < 0.3:
         page = f"<div{r.choice(['', ' class=wrapper', ' id=page', ' class=container'])}>{page}</div>"
+    if r.random() < 0.2:
+        return page
     return f"<html><head><title>{words(3)}</title><script>var a = '<p>';</script></head><body>{page}</body></html>"
 
 
 def fit(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAGES, composed: int = COMPOSED_PAGES) -> Model:
     """Weights from ``composed`` labelled pages and at most ``sample_pages`` pages of the table that have one article.
 
-    The sample is chosen by a hash of the pages, so it does not depend on the order of the rows,
-    and only it is sent to the driver; nothing else is bounded here, every page is extracted.
+    The sample is chosen by a hash of the pages, equal pages once, so it depends neither on the
+    order of the rows nor on copies, and only it is sent to the driver; nothing else is bounded
+    here, every page is extracted.  Composed pages come first; what they teach decides which
+    nodes of the sampled articles count as content, then learning goes on with both.
     """
     scale = 1 << 30
-    share = min(scale, -(-scale * sample_pages // max(1, pages.count())))
-    got = (pages.filter((F.pmod(F.xxhash64(quoted(html_col)), F.lit(scale)) < share) & quoted(html_col).contains("<article"))
-           .select(quoted(html_col).alias("html")).limit(2 * sample_pages).collect())
-    got = sorted(got, key=lambda r: r.html)
-    trees = [parse(composed_page(i)) for i in range(composed)]
-    trees += [t for t in (parse(r.html) for r in got) if sum(n.tag == "article" for n in t.nodes) == 1]
-    return train([(t, own_labels(t)) for t in trees])
+    share = min(scale, -(-scale * 2 * sample_pages // max(1, pages.count())))
+    mark = F.pmod(F.xxhash64(quoted(html_col)), F.lit(scale))
+    got = (pages.filter((mark < share) & quoted(html_col).contains("<article")).select(mark.alias("mark"), quoted(html_col).alias("html"))
+           .distinct().orderBy("mark", "html").limit(sample_pages).collect())
+    made = [(t, own_labels(t)) for t in (parse(composed_page(i)) for i in range(composed))]
+    model = train(made)
+    trees = [t for t in (parse(r.html) for r in got) if sum(n.tag == "article" for n in t.nodes) == 1]
+    return train(made[::4] + [(t, own_labels(t, model)) for t in trees], epochs=3, rate=0.1, start=model) if trees else model
 
 
 def extract(html: str | None, model: Model, threshold: float = 0.5) -> str:
@@ -397,7 +439,8 @@ def extract_text(pages: DataFrame, model: Model, html_col: str = "html", out_col
     their length or depth; repeated rows stay repeated.
     """
     keep = [c for c in pages.columns if c.lower() not in (html_col.lower(), out_col.lower())]
-    rows = pages.select(*[quoted(c) for c in keep], quoted(html_col).alias("html_to_read"))
+    html = free_prefix(keep, "html_to_read")
+    rows = pages.select(*[quoted(c) for c in keep], quoted(html_col).alias(html))
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable) -> Iterator:
@@ -410,7 +453,7 @@ def extract_text(pages: DataFrame, model: Model, html_col: str = "html", out_col
                 text = [extract(h, m) for h in b.column(b.num_columns - 1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(text, pa.string())], names=[*keep, out_col])
 
-    return rows.mapInArrow(run, rows.drop("html_to_read").withColumn(out_col, F.lit("")).schema)
+    return rows.mapInArrow(run, rows.drop(html).withColumn(out_col, F.lit("")).schema)
 
 
 def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
