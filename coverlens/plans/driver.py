@@ -8,6 +8,7 @@ sides; computed columns carry the same alias in Spark and SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +26,9 @@ from coverlens.operators import geography as geo
 from coverlens.operators import matching as mt
 from coverlens.operators import planning as pl
 from coverlens.operators import responses as rs
+from coverlens.plans import typed
 from coverlens.plans.tables import Tables, attempts, failure_log, landed_responses, line_plan, line_responses, order_plan
-from coverlens.schemas import OPTION_DDL
+from coverlens.schemas import OPTION_FIELDS
 from coverlens.session import work_dir
 from coverlens.sources import sinks
 
@@ -298,10 +300,8 @@ def q_response_rows(spark, sf):
 @register("response_defaults", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(0 AS BIGINT) AS z FROM events""")
 def q_response_defaults(spark, sf):
-    e = Tables(spark, sf)("events")
-    r = F.from_json(F.col("props"), "k string, z string")
-    return e.select("event_id", r["k"].try_cast("long").alias("k"),
-                    F.coalesce(r["z"].try_cast("long"), F.lit(0).cast("long")).alias("z"))
+    e = rs.parsed_once(Tables(spark, sf)("events"), ["event_id"], "props")
+    return e.selectExpr("event_id", *[f"CAST({rs.leaf_sql('dbl', 'r', k)} AS BIGINT) AS {k}" for k in ("k", "z")])
 
 
 @register("response_nulls", """
@@ -335,11 +335,30 @@ SELECT l_orderkey AS o_orderkey, '[{"label":"' || l_returnflag || '","selected":
   THEN 'true' ELSE 'false' END || ',"gsn":"' || l_partkey || '","strength":"","qty":"' || l_linenumber
   || '","branded_or_generic_id":""}]' AS form_options FROM lineitem""")
 def q_option_json(spark, sf):
-    resp = landed_responses(Tables(spark, sf))
-    ddl = "pharmacies array<struct<name: string>>, form " + OPTION_DDL["form"]
-    parsed = rs.parsed_once(resp, ["o_orderkey"], "body", ddl)
-    return (parsed.filter(F.size(F.col("r.pharmacies")) > 0)
-            .selectExpr("o_orderkey", f"{rs.json_sql(rs.options_sql('`r`.`form`', 'form'))} AS form_options"))
+    parsed = rs.parsed_once(landed_responses(Tables(spark, sf)), ["o_orderkey"], "body")
+    return (parsed.filter(F.expr(f"size({rs.elements_sql('r', 'pharmacies')}) > 0"))
+            .selectExpr("o_orderkey", f"{rs.json_sql(rs.options_sql('r', 'form'))} AS form_options"))
+
+
+@register("response_columns", typed.fact_sql())
+def q_response_columns(spark, sf):
+    """All 85 columns where every field comes as text, another type, null and not at all."""
+    t = Tables(spark, sf)
+    fact = rs.extract_prices(typed.typed_responses(t), order_plan(t), key="o_orderkey", ingest_ts=F.lit("2024-01-01 00:00:00"),
+                             position="pharmacy_pos")
+    return fact.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("option_typed", typed.option_values_sql())
+def q_option_typed(spark, sf):
+    """Values of all four option arrays with the type that they came with."""
+    bodies = typed.typed_responses(Tables(spark, sf))
+    parts = []
+    for kind in OPTION_FIELDS:
+        rows = rs.option_rows(bodies, kind, key="o_orderkey", typed=True)
+        parts.append(rows.select("o_orderkey", F.lit(kind).alias("kind"), "option_pos",
+                                 *[typed.variant_text(c) for c in ("label", "selected", "branded_or_generic_id")]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---------------------------------------------------------------- coverage: P2, P3, A1-A4
