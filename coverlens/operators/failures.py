@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coverlens.functions.attempts import MAX_CONSECUTIVE_FAILURES
+from coverlens.functions.attempts import MAX_CONSECUTIVE_FAILURES, MAX_RETRIES, attempt_kind, chain_sql
 from coverlens.functions.text import contains_all, py_strip, split_lines
 from coverlens.operators.ordered import running_scan, top_k_per_group
 
@@ -109,6 +109,21 @@ def recent_failures(attempts: DataFrame, run: Sequence[str], order: Sequence[str
     return top_k_per_group(attempts.filter(F.coalesce(failed, F.lit(False))), run, order, n, descending=True)
 
 
+def request_outcomes(attempts: DataFrame, request: Sequence[str], order: Sequence[str], status: str = "status", body: str = "body",
+                     error: str = "error", refresh_ok: str = "refresh_ok", max_retries: int = MAX_RETRIES) -> DataFrame:
+    """How each request went, from its recorded attempts in order (T5): outcome, attempts, refreshes, waited, actions.
+
+    Only a request's first ``max_retries`` attempts can be made, so no more are gathered
+    (``top_k_per_group``), however many are recorded under one key; they are folded by ``chain_sql``.
+    """
+    kinds = attempts.select(*request, *[c for c in order if c not in request],
+                            attempt_kind(F.col(status), F.col(body), F.col(error)).alias("kind"), F.col(refresh_ok).alias("refresh_ok"))
+    first = top_k_per_group(kinds, request, order, max_retries, rank_col="n")
+    chains = first.groupBy(*request).agg(F.sort_array(F.collect_list(F.struct("n", "kind", "refresh_ok"))).alias("__a"))
+    return chains.select(*request, F.expr(chain_sql("__a", max_retries)).alias("__s")).select(
+        *request, *[F.col(f"__s.{c}").alias(c) for c in ("outcome", "attempts", "refreshes", "waited", "actions")])
+
+
 def run_summary(attempts: DataFrame, run: Sequence[str], failed: Column) -> DataFrame:
     """Attempts and failures per run."""
     return attempts.groupBy(*run).agg(F.count(F.lit(1)).cast("long").alias("processed"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlens.functions.location import city_or_fallback
-from coverlens.operators.ordered import ntile_of, ntile_start, running_scan
+from coverlens.operators.ordered import ntile_of, ntile_start, running_scan, slice_by_rank
 
 # --- fixed values: the reference's state order --------------------------------
 STATES = ["FL", "GA", "OH"]
@@ -42,14 +42,14 @@ def assign_batches(df: DataFrame, by: Sequence[str], order: Sequence[str], total
 
 def batch_slice(df: DataFrame, by: Sequence[str], order: Sequence[str], batch_num: int,
                 total_batches: int, preview: int | None = None) -> DataFrame:
-    """Rows of one batch; with ``preview`` only its first ``preview`` rows per group."""
+    """Rows of one batch; with ``preview`` only its first ``preview`` rows per group.
+
+    One batch needs the order keys at its two ends only, so the list is neither sorted nor numbered.
+    """
     validate_batch(batch_num, total_batches)
-    s = running_scan(df, by, order, ordinal="__i", group_size="__n")
-    start = ntile_start(batch_num, F.col("__n"), total_batches)
-    s = s.filter(ntile_of(F.col("__i"), F.col("__n"), total_batches) == batch_num)
-    if preview is not None:
-        s = s.filter(F.col("__i") - 1 < start + preview)
-    return s.drop("__i", "__n")
+    n = F.col("n")
+    start, stop = ntile_start(batch_num, n, total_batches), ntile_start(batch_num + 1, n, total_batches)
+    return slice_by_rank(df, by, order, start, stop if preview is None else F.least(stop, start + preview))
 
 
 def locate(zips: DataFrame, geocodes: DataFrame, on: Sequence[str], state: str = "state",

@@ -18,13 +18,14 @@ and the group size.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coverlens.session import materialize
+from coverlens.session import materialize, work_dir
 
 
 def micros_ntz(c: Column) -> Column:
@@ -153,11 +154,123 @@ def ntile_start(batch: int, size: Column, k: int) -> Column:
     return F.when(b0 < r, b0 * (q + 1)).otherwise(r * (q + 1) + (b0 - r) * q).cast("long")
 
 
+def _same(left: DataFrame, right: DataFrame, cols: Sequence[str], names: Sequence[str]) -> Column:
+    """Null-safe equality of ``left``'s columns ``cols`` with ``right``'s columns ``names``."""
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[n]) for c, n in zip(cols, names, strict=True)], F.lit(True))
+
+
 def top_k_per_group(df: DataFrame, by: Sequence[str], order: Sequence[str], k: int, *,
                     descending: bool = False, rank_col: str | None = None,
                     partitions: int | None = None) -> DataFrame:
-    """First ``k`` rows of each group in ``order`` (a limit that is the feature: previews, recent items)."""
-    name = rank_col or "__rank"
-    ranked = running_scan(df, by, order, descending=descending, ordinal=name, partitions=partitions)
-    out = ranked.filter(F.col(name) <= k)
-    return out if rank_col else out.drop(name)
+    """First ``k`` rows of each group in ``order`` (a limit that is the feature: previews, recent items).
+
+    A task passes on at most ``k`` rows of a group, the tasks of one of about sqrt(tasks) salts at
+    most ``k`` together, and the last step picks among the salts: two small shuffles, whatever
+    the size of the table or of a group, and no sort or checkpoint of the whole.  The salt is the task's number, on which
+    the result does not depend.  ``order`` must be total inside a group.
+    """
+    spark = df.sparkSession
+    n = int(partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    rank, salt = rank_col or "__rank", "__salt"
+    sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    salted = df.withColumn(salt, F.pmod(F.spark_partition_id(), F.lit(max(2, math.isqrt(n)))))
+    some = salted.withColumn(rank, F.row_number().over(Window.partitionBy(*by, salt).orderBy(*sort))).filter(F.col(rank) <= k).drop(rank, salt)
+    out = some.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*sort)).cast("long")).filter(F.col(rank) <= k)
+    return out if rank_col else out.drop(rank)
+
+
+#: Sampled keys by which one round of ``rank_cuts`` cuts an interval.
+PIVOTS = 32
+
+
+def rank_cuts(df: DataFrame, by: Sequence[str], order: Sequence[str], ranks: Mapping[str, Column], pivots: int = PIVOTS) -> DataFrame:
+    """Order keys at given places of each group, without sorting the table: rows (by, cut, n, key).
+
+    ``ranks`` maps a name to a 0-based place, an expression over the group's size ``n``; ``key`` is
+    the struct of the ``order`` columns of the row there, null for a place outside the group.  ``order`` must be total
+    inside a group; nulls come first.
+
+    Distributed selection: each round samples a few keys of the interval that a cut is known to
+    lie in, counts the rows between them exactly, and keeps the one interval that holds the
+    place, which leaves about one row in ``pivots`` / 2.  A round reads the ``by`` and ``order``
+    columns only, shuffles counts and samples, and collects nothing but whether all is found.
+    """
+    by = list(by)
+    rows = df.select(*by, F.struct(*order).alias("__k"))
+    kind = rows.schema["__k"].dataType.simpleString()
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).cast("long").alias("n"))
+    wanted = F.explode(F.array(*[F.struct(F.lit(name).alias("cut"), at.cast("long").alias("left")) for name, at in ranks.items()]))
+    # left: place inside the interval [lo, hi) that holds the key; a missing bound is open.
+    # The state of a round is a small written table: its size is known anew, not guessed from the joins behind it.
+    root, spark = work_dir(df.sparkSession, "rank-cuts"), df.sparkSession
+
+    def written(state: DataFrame, name: object) -> DataFrame:
+        state.write.parquet(f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}")
+
+    cuts = written(sizes.select(*by, "n", wanted.alias("c")).select(
+        *by, "n", "c.*", F.lit(None).cast(kind).alias("lo"), F.lit(None).cast(kind).alias("hi"),
+        ((F.col("c.left") < 0) | (F.col("c.left") >= F.col("n"))).alias("done")).withColumns({"key": F.col("lo"), "stuck": F.lit(False)}), "start")
+    names = [f"__b{i}" for i in range(len(by))]
+    for seed in range(64):
+        todo = cuts.filter(~F.col("done")).select(*[F.col(c).alias(x) for c, x in zip(by, names, strict=True)], "cut", "lo", "hi")
+        state = cuts.agg(F.count_if(~F.col("done")).alias("open"), F.count_if("stuck").alias("stuck")).first()
+        if state.stuck:
+            raise ValueError("order columns do not tell the rows of a group apart")
+        if not state.open:
+            return cuts.select(*by, "cut", "n", "key")
+        inside = rows.join(todo, _same(rows, todo, by, names)).filter(
+            (F.col("lo").isNull() | (F.col("__k") >= F.col("lo"))) & (F.col("hi").isNull() | (F.col("__k") < F.col("hi"))))
+        drawn = top_k_per_group(inside.select(*by, "cut", "__k", F.xxhash64(F.lit(seed), "__k").alias("__h")), [*by, "cut"], ["__h", "__k"], pivots)
+        marks = written(drawn.groupBy(*by, "cut").agg(F.sort_array(F.collect_list("__k")).alias("__p")), f"marks{seed}")
+        held = marks.select(*[F.col(c).alias(x) for c, x in zip(by, names, strict=True)], F.col("cut").alias("__c"), "__p")
+        counted = (inside.select(*by, "cut", "__k").alias("i").join(held, _same(inside, held, by, names) & (F.col("i.cut") == F.col("__c")))
+                   .select(*by, "cut", F.size(F.filter("__p", lambda x: x <= F.col("__k"))).alias("slot"))
+                   .groupBy(*by, "cut", "slot").agg(F.count(F.lit(1)).alias("m")))
+        slots = counted.groupBy(*by, "cut").agg(F.sort_array(F.collect_list(F.struct("slot", "m"))).alias("s"))
+        # The first slot that reaches the place, and the rows before it.
+        walked = F.expr("aggregate(s, named_struct('before', 0L, 'slot', -1), (a, x) -> if(a.slot >= 0 OR a.before + x.m <= left, "
+                        "named_struct('before', a.before + if(a.slot >= 0, 0L, x.m), 'slot', a.slot), named_struct('before', a.before, 'slot', x.slot)))")
+        found = marks.join(slots, _same(marks, slots, [*by, "cut"], [*by, "cut"])).select(
+            *[marks[c].alias(x) for c, x in zip(by, names, strict=True)], marks["cut"].alias("__c"), "__p", "s")
+        new = cuts.join(found, _same(cuts, found, [*by, "cut"], [*names, "__c"]), "left").withColumn("w", walked)
+        lo = F.coalesce(F.get("__p", F.col("w.slot") - 1), F.col("lo"))
+        hi = F.coalesce(F.get("__p", F.col("w.slot")), F.col("hi"))
+        left = F.col("left") - F.col("w.before")
+        hit = (left == 0) & lo.isNotNull()
+        # All rows of the interval were sampled, or nothing was gained: equal keys.
+        stuck = ~hit & ((F.size("__p") < pivots) | (lo.eqNullSafe(F.col("lo")) & hi.eqNullSafe(F.col("hi"))))
+        step = new.select(*by, "n", "cut", "done", *[F.when(F.col("done"), F.col(c)).otherwise(x).alias(c) for c, x in (
+            ("left", left), ("lo", lo), ("hi", hi), ("key", F.when(hit, lo)))], (~F.col("done") & stuck).alias("stuck"), (F.col("done") | hit).alias("now"))
+        cuts = written(step.drop("done").withColumnRenamed("now", "done"), seed)
+    raise ValueError("order columns do not tell the rows of a group apart")
+
+
+#: Groups up to which ``slice_by_rank`` also filters by literal bounds, which reach the scan.
+LITERAL_GROUPS = 64
+
+
+def slice_by_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], start: Column, stop: Column) -> DataFrame:
+    """Rows whose 0-based place in their group is from ``start`` up to, not including, ``stop`` (expressions over the size ``n``).
+
+    The two keys that bound a slice are selected (``rank_cuts``), then the table is filtered by
+    them: nothing is sorted or numbered.  For up to ``LITERAL_GROUPS`` groups the bounds of the
+    first order column are also literals of the filter, so a scan can skip row groups.
+    """
+    by, spark = list(by), df.sparkSession
+    last = F.least(stop, F.col("n")) - 1
+    cuts = rank_cuts(df, by, order, {"a": F.greatest(start, F.lit(0)), "z": F.when(last >= F.greatest(start, F.lit(0)), last).otherwise(-1)})
+    bounds = cuts.groupBy(*by).agg(F.max(F.when(F.col("cut") == "a", F.col("key"))).alias("__a"), F.max(F.when(F.col("cut") == "z", F.col("key"))).alias("__z"))
+    bounds = bounds.filter("__a IS NOT NULL AND __z IS NOT NULL")
+    few = bounds.select(*by, F.col(f"__a.{order[0]}").alias("__lo"), F.col(f"__z.{order[0]}").alias("__hi")).limit(LITERAL_GROUPS + 1).collect()
+    if not few:
+        return df.limit(0)
+    if len(few) <= LITERAL_GROUPS and all(r["__lo"] is not None for r in few):
+        first = F.col(order[0])
+        df = df.filter(reduce(lambda x, y: x | y, [
+            reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(r[c])) for c in by], (first >= F.lit(r["__lo"])) & (first <= F.lit(r["__hi"])))
+            for r in few]))
+    names = [f"__b{i}" for i in range(len(by))]
+    right = bounds.select(*[F.col(c).alias(x) for c, x in zip(by, names, strict=True)], "__a", "__z")
+    key = F.struct(*order)
+    return df.join(right, _same(df, right, by, names)).filter((key >= F.col("__a")) & (key <= F.col("__z"))).drop(*names, "__a", "__z")

@@ -60,29 +60,29 @@ def plan_requests(catalog: DataFrame, uuid_map: DataFrame, zips: DataFrame, geoc
                   ledger: DataFrame | None = None, states: Sequence[str] | None = None,
                   batch_num: int | None = None, total_batches: int | None = None,
                   zip_preview: int | None = None, catalog_preview: int | None = None,
-                  retry_failed: bool = False, state_order: Sequence[str] = geo.STATES) -> DataFrame:
+                  retry_failed: bool = False, state_order: Sequence[str] = geo.STATES, run_id: str = "run") -> DataFrame:
     """Request manifest of one run: the drug-major grid, first occurrence of each key, minus the ledger.
 
     A zip listed under two states is requested once per drug, under the earlier
     state of ``state_order`` (SURVEY D2); failed ledger rows count as done unless
-    ``retry_failed`` (D4).  ``position`` is the reference's processing order.
+    ``retry_failed`` (D4).  ``position`` is the reference's processing order.  Call ids are made of
+    ``run_id`` and the key, so a repeated task gives the same ones.
     """
     drugs, _ = resolved_catalog(catalog, uuid_map, catalog_preview)
     located, _ = located_zips(zips, geocodes, states, batch_num, total_batches, zip_preview)
     rank = F.array_position(F.array(*[F.lit(s) for s in state_order]), F.col("state"))
     located = located.withColumn("state_rank", F.coalesce(rank, F.lit(len(state_order) + 1)).cast("long"))
-    # First wins per key (W7, D2) is applied to each side before the product.
+    # First wins per key (W7, D2) is applied to each side before the product, the ledger (J5) before a cell is made.
+    done = None if ledger is None else pl.split_keys(pl.attempted(ledger, "status", retry_failed), "procedure_code", "zip")
     grid = pl.plan_grid(drugs, ["ordinal"], located.withColumnRenamed("ordinal", "zip_ordinal"),
-                        ["state_rank", "zip_ordinal"], cat_key="procedure_code", loc_key="zip")
+                        ["state_rank", "zip_ordinal"], cat_key="procedure_code", loc_key="zip", done=done, done_on=("procedure_code", "zip"))
     firsts = grid.withColumn("combination_key", combination_key(F.col("procedure_code"), F.col("zip")))
-    if ledger is not None:
-        firsts = pl.remaining(firsts, ledger, ["combination_key"], status="status", retry_failed=retry_failed)
     return firsts.select(
         "position", "combination_key", "state", F.col("zip").alias("zip_code"), "city", "lat", "lng",
         "procedure_code", "drug_name", "dosage_form", "claim_count", "uuid",
         F.col("lat").cast("string").alias("locationLat"), F.col("lng").cast("string").alias("locationLong"),
         F.coalesce(F.nullif(F.lower(F.col("drug_name")), F.lit("")), F.lit("prescription")).alias("searchedQuery"),
-        F.expr("uuid()").alias("intentCallId"))
+        pl.call_id(F.lit(run_id), "combination_key").alias("intentCallId"))
 
 
 def analyze_prices(prices: DataFrame, order: str | Sequence[str] = "ordinal") -> tuple[DataFrame, DataFrame]:

@@ -27,10 +27,10 @@ from coverlens.operators import matching as mt
 from coverlens.operators import planning as pl
 from coverlens.operators import responses as rs
 from coverlens.plans import typed
-from coverlens.plans.tables import Tables, attempts, failure_log, landed_responses, line_plan, line_responses, order_plan
+from coverlens.plans.tables import Tables, attempts, failure_log, landed_responses, line_plan, line_responses, order_plan, request_attempts
 from coverlens.schemas import OPTION_FIELDS
 from coverlens.session import work_dir
-from coverlens.sources import sinks
+from coverlens.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,6 +69,15 @@ def q_batch_slice(spark, sf):
     return geo.assign_batches(c, ["c_mktsegment"], ["c_custkey"], 4)
 
 
+@register("batch_one", """
+SELECT c_mktsegment, c_custkey, c_acctbal FROM (
+  SELECT *, ntile(4) OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal NULLS FIRST, c_custkey) AS b FROM customer) WHERE b = 3""")
+def q_batch_one(spark, sf):
+    """One batch of each segment by balance: its two end keys are selected, the rest is a filter."""
+    c = Tables(spark, sf)("customer").select("c_mktsegment", "c_custkey", "c_acctbal")
+    return geo.batch_slice(c, ["c_mktsegment"], ["c_acctbal", "c_custkey"], batch_num=3, total_batches=4)
+
+
 @register("batch_preview", """
 SELECT c_mktsegment, c_custkey FROM (
   SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS rn FROM (
@@ -160,6 +169,23 @@ def q_map_upsert(spark, sf):
     return cat.new_entries(found, li.filter(F.col("l_quantity") < 5), "l_partkey", "ref")
 
 
+@register("map_persist", """
+WITH a AS (SELECT l_partkey AS k, max(l_suppkey) AS ref FROM lineitem WHERE l_quantity < 10 GROUP BY 1),
+b AS (SELECT l_partkey AS k, max(l_suppkey) AS ref FROM lineitem GROUP BY 1),
+m AS (SELECT b.k, CASE WHEN coalesce(a.ref, 0) % 3 > 0 THEN a.ref ELSE b.ref END AS ref FROM b LEFT JOIN a USING (k))
+SELECT p_partkey, p_name, CAST(ref AS VARCHAR) AS ref FROM part JOIN m ON k = p_partkey WHERE ref % 3 > 0""")
+def q_map_persist(spark, sf):
+    """Found identifiers are kept over runs, the second run repeated, and resolve the catalogue from the stored map."""
+    t = Tables(spark, sf)
+    li = t("lineitem").select("l_partkey", "l_suppkey", "l_quantity")
+    path = work_dir(spark, "map")
+    for rows in (li.filter("l_quantity < 10"), li, li):
+        ref = rows.groupBy(F.col("l_partkey").alias("k")).agg(F.max("l_suppkey").alias("s"))
+        found = ref.select("k", F.when(F.col("s") % 3 == 0, F.lit("")).otherwise(F.col("s").cast("string")).alias("ref"))
+        sinks.upsert_map(found, path, "k", "ref")
+    return cat.resolve(t("part").select("p_partkey", "p_name"), "p_partkey", readers.read_map(spark, path), "k", "ref")
+
+
 @register("first_hit", "SELECT user_id, arg_min(event_type, event_id) AS hit FROM events GROUP BY user_id")
 def q_first_hit(spark, sf):
     return cat.first_hit(Tables(spark, sf)("events"), "user_id", "event_id", "event_type", "hit")
@@ -234,7 +260,9 @@ def q_plan_remaining(spark, sf):
     ledger = (t("lineitem").select("l_partkey", "l_suppkey")
               .join(t("supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
               .select(F.col("l_partkey").alias("p_partkey"), F.col("s_nationkey").cast("int").alias("n_nationkey")))
-    return pl.remaining(_grid(t), ledger, ["p_partkey", "n_nationkey"]).select("p_partkey", "n_nationkey")
+    grid = pl.plan_grid(t("part").select("p_partkey"), ["p_partkey"], t("nation").select("n_nationkey"), ["n_nationkey"],
+                        done=ledger, done_on=("p_partkey", "n_nationkey"))
+    return grid.select("p_partkey", "n_nationkey")
 
 
 @register("plan_order", """
@@ -262,13 +290,16 @@ def q_plan_summary(spark, sf):
 
 
 @register("request_manifest", """
-SELECT p_partkey AS uuid, CAST(p_size AS VARCHAR) AS zipCode,
-  coalesce(nullif(lower(CASE WHEN p_size = 1 THEN '' ELSE p_name END), ''), 'prescription') AS searchedQuery FROM part""")
+SELECT p_partkey AS uuid, CAST(p_size AS VARCHAR) AS zipCode, CAST(p_size AS VARCHAR) AS locationLat, CAST(-p_partkey AS VARCHAR) AS locationLong,
+  coalesce(nullif(lower(CASE WHEN p_size = 1 THEN '' ELSE p_name END), ''), 'prescription') AS searchedQuery,
+  substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-4' || substr(h, 14, 3) || '-'
+    || substr('89ab', (instr('0123456789abcdef', substr(h, 17, 1)) - 1) % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS intentCallId
+FROM (SELECT *, sha256('run7' || chr(1) || p_partkey) AS h FROM part)""")
 def q_request_manifest(spark, sf):
-    p = Tables(spark, sf)("part").withColumn(
-        "name", F.when(F.col("p_size") == 1, F.lit("")).otherwise(F.col("p_name")))
-    return pl.request_rows(p, uuid="p_partkey", zip_code="p_size", lat=None, lng=None, name="name",
-                           with_call_id=False)
+    p = Tables(spark, sf)("part").select("p_partkey", "p_size", (-F.col("p_partkey")).alias("lng"),
+                                         F.when(F.col("p_size") == 1, F.lit("")).otherwise(F.col("p_name")).alias("name"))
+    return pl.request_rows(p, uuid="p_partkey", zip_code="p_size", lat="p_size", lng="lng", name="name",
+                           call=pl.call_id(F.lit("run7"), F.col("p_partkey").cast("string")))
 
 
 # ---------------------------------------------------------------- responses: X1-X5, P4, P13, A8
@@ -542,6 +573,33 @@ def q_attempt_action(spark, sf):
                                                F.col("attempt_no"), F.col("refreshed")).alias("action"))
 
 
+@register("attempt_chain", """
+WITH RECURSIVE a AS (SELECT event_id // 4 AS request_id, row_number() OVER (PARTITION BY event_id // 4 ORDER BY event_id) AS n,
+  CASE event_type WHEN 'view' THEN 'ok' WHEN 'signup' THEN 'auth' WHEN 'error' THEN 'limit'
+    WHEN 'click' THEN CASE WHEN value > 25 OR contains(lower(props), 'token') OR contains(lower(props), 'unauthorized') THEN 'token' ELSE 'other' END
+    ELSE CASE event_id % 3 WHEN 0 THEN 'denied' WHEN 1 THEN 'timeout' ELSE 'broken' END END AS kind,
+  CASE WHEN event_id % 7 < 4 OR event_id % 7 = 6 THEN true ELSE false END AS works FROM events),
+st AS (
+  SELECT request_id, 0 AS n, 'open' AS outcome, false AS refreshed, CAST(0 AS BIGINT) AS attempts, CAST(0 AS BIGINT) AS refreshes,
+         CAST(0 AS BIGINT) AS waited, '' AS actions FROM a GROUP BY 1
+  UNION ALL
+  SELECT request_id, n,
+    CASE WHEN kind = 'ok' THEN 'ok' WHEN kind = 'auth' AND NOT fresh THEN 'failed' WHEN n = 3 THEN 'failed' ELSE 'open' END,
+    refreshed OR fresh, attempts + 1, refreshes + CASE WHEN fresh THEN 1 ELSE 0 END,
+    waited + CASE WHEN kind = 'ok' OR fresh OR kind = 'auth' THEN 0 WHEN kind = 'limit' THEN 40 WHEN n < 3 THEN 20 ELSE 0 END,
+    actions || CASE WHEN n = 1 THEN '' ELSE ' ' END || CASE WHEN kind = 'ok' THEN 'ok' WHEN fresh THEN 'refresh_retry'
+      WHEN kind = 'auth' THEN CASE WHEN refreshed THEN 'fail' ELSE 'refresh_failed' END WHEN kind = 'limit' THEN 'backoff_retry' ELSE 'retry' END
+  FROM (SELECT st.request_id, a.n, a.kind, st.refreshed, st.attempts, st.refreshes, st.waited, st.actions,
+               NOT st.refreshed AND a.works AND (a.kind IN ('auth', 'token', 'denied') OR (a.kind = 'timeout' AND a.n = 1)) AS fresh
+        FROM st JOIN a ON a.request_id = st.request_id AND a.n = st.n + 1 WHERE st.outcome = 'open' AND st.n < 3))
+SELECT request_id, arg_max(outcome, n) AS outcome, max(attempts) AS attempts, max(refreshes) AS refreshes, max(waited) AS waited,
+  arg_max(actions, n) AS actions FROM st GROUP BY request_id""")
+def q_attempt_chain(spark, sf):
+    """Whole requests: what came of each, over its attempts, refreshes and waits (T5)."""
+    done = fl.request_outcomes(request_attempts(Tables(spark, sf)), ["request_id"], ["event_id"])
+    return done.withColumn("actions", F.array_join("actions", " "))
+
+
 # ---------------------------------------------------------------- run control: W2-W4, A9
 _STREAK_SQL = """WITH a AS (SELECT *, sum(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id
   ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g FROM events),

@@ -138,3 +138,15 @@ def attempts(t: Tables) -> DataFrame:
     return e.select("event_id", "user_id", status.alias("status"), body.alias("body"), error.alias("error"),
                     (F.col("event_id") % 3 + 1).cast("int").alias("attempt_no"),
                     (F.col("value") < 10).alias("refreshed"))
+
+
+def request_attempts(t: Tables) -> DataFrame:
+    """Attempts of requests derived from events: four recorded for each request, one more than are ever made; some refreshes fail."""
+    e = t("events")
+    status = (F.when(F.col("event_type") == "view", 200).when(F.col("event_type") == "signup", F.when(F.col("event_id") % 2 == 0, 401).otherwise(403))
+              .when(F.col("event_type") == "error", 429).when(F.col("event_type") == "click", 500))
+    body = F.when(F.col("value") > 25, F.concat(F.lit("Unauthorized call: "), F.col("props"))).otherwise(F.col("props"))
+    error = F.when(status.isNull(), F.when(F.col("event_id") % 3 == 0, F.lit("401 Unauthorized for url")).when(
+        F.col("event_id") % 3 == 1, F.lit("Read timeout")).otherwise(F.lit("Connection reset")))
+    return e.select(F.floor(F.col("event_id") / 4).cast("long").alias("request_id"), "event_id", status.alias("status"), body.alias("body"),
+                    error.alias("error"), F.when(F.col("event_id") % 7 < 6, F.col("event_id") % 7 < 4).alias("refresh_ok"))
