@@ -179,8 +179,11 @@ def top_k_per_group(df: DataFrame, by: Sequence[str], order: Sequence[str], k: i
     return out if rank_col else out.drop(rank)
 
 
-#: Sampled keys by which one round of ``rank_cuts`` cuts an interval.
+#: Sampled keys by which the first round of ``rank_cuts`` cuts an interval.  A round leaves about
+#: a 16th of the rows, so the next may take 16 times as many at the same cost, up to ``MOST_PIVOTS``
+#: (the largest limit that Spark applies before a shuffle by default).
 PIVOTS = 32
+MOST_PIVOTS = 1000
 
 
 def rank_cuts(df: DataFrame, by: Sequence[str], order: Sequence[str], ranks: Mapping[str, Column], pivots: int = PIVOTS) -> DataFrame:
@@ -192,7 +195,7 @@ def rank_cuts(df: DataFrame, by: Sequence[str], order: Sequence[str], ranks: Map
 
     Distributed selection: each round samples a few keys of the interval that a cut is known to
     lie in, counts the rows between them exactly, and keeps the one interval that holds the
-    place, which leaves about one row in ``pivots`` / 2.  A round reads the ``by`` and ``order``
+    place.  ``pivots`` keys are sampled first, more as the intervals shrink.  A round reads the ``by`` and ``order``
     columns only, shuffles counts and samples, and collects nothing but whether all is found.
     """
     by = list(by)
@@ -213,6 +216,7 @@ def rank_cuts(df: DataFrame, by: Sequence[str], order: Sequence[str], ranks: Map
         ((F.col("c.left") < 0) | (F.col("c.left") >= F.col("n"))).alias("done")).withColumns({"key": F.col("lo"), "stuck": F.lit(False)}), "start")
     names = [f"__b{i}" for i in range(len(by))]
     for seed in range(64):
+        drawn_keys = min(pivots * 16**min(seed, 4), max(pivots, MOST_PIVOTS))
         todo = cuts.filter(~F.col("done")).select(*[F.col(c).alias(x) for c, x in zip(by, names, strict=True)], "cut", "lo", "hi")
         state = cuts.agg(F.count_if(~F.col("done")).alias("open"), F.count_if("stuck").alias("stuck")).first()
         if state.stuck:
@@ -221,7 +225,7 @@ def rank_cuts(df: DataFrame, by: Sequence[str], order: Sequence[str], ranks: Map
             return cuts.select(*by, "cut", "n", "key")
         inside = rows.join(todo, _same(rows, todo, by, names)).filter(
             (F.col("lo").isNull() | (F.col("__k") >= F.col("lo"))) & (F.col("hi").isNull() | (F.col("__k") < F.col("hi"))))
-        drawn = top_k_per_group(inside.select(*by, "cut", "__k", F.xxhash64(F.lit(seed), "__k").alias("__h")), [*by, "cut"], ["__h", "__k"], pivots)
+        drawn = top_k_per_group(inside.select(*by, "cut", "__k", F.xxhash64(F.lit(seed), "__k").alias("__h")), [*by, "cut"], ["__h", "__k"], drawn_keys)
         marks = written(drawn.groupBy(*by, "cut").agg(F.sort_array(F.collect_list("__k")).alias("__p")), f"marks{seed}")
         held = marks.select(*[F.col(c).alias(x) for c, x in zip(by, names, strict=True)], F.col("cut").alias("__c"), "__p")
         counted = (inside.select(*by, "cut", "__k").alias("i").join(held, _same(inside, held, by, names) & (F.col("i.cut") == F.col("__c")))
@@ -239,7 +243,7 @@ def rank_cuts(df: DataFrame, by: Sequence[str], order: Sequence[str], ranks: Map
         left = F.col("left") - F.col("w.before")
         hit = (left == 0) & lo.isNotNull()
         # All rows of the interval were sampled, or nothing was gained: equal keys.
-        stuck = ~hit & ((F.size("__p") < pivots) | (lo.eqNullSafe(F.col("lo")) & hi.eqNullSafe(F.col("hi"))))
+        stuck = ~hit & ((F.size("__p") < drawn_keys) | (lo.eqNullSafe(F.col("lo")) & hi.eqNullSafe(F.col("hi"))))
         step = new.select(*by, "n", "cut", "done", *[F.when(F.col("done"), F.col(c)).otherwise(x).alias(c) for c, x in (
             ("left", left), ("lo", lo), ("hi", hi), ("key", F.when(hit, lo)))], (~F.col("done") & stuck).alias("stuck"), (F.col("done") | hit).alias("now"))
         cuts = written(step.drop("done").withColumnRenamed("now", "done"), seed)
