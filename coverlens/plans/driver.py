@@ -495,11 +495,11 @@ def q_code_match_summary(spark, sf):
 # ---------------------------------------------------------------- failure log: T1-T4, A10
 _NAME_SQL = """CASE event_type WHEN 'click' THEN 'click (' || props || ')' WHEN 'purchase' THEN 'purchase in store'
   ELSE event_type END"""
-_LINE_SQL = """CASE WHEN event_type = 'signup' THEN CAST(event_id AS VARCHAR) || ' - ERROR - ❌ Failed to get data for '
-  || event_type || ' in ' || CAST(user_id AS VARCHAR) || ' (Total failures: ' || CAST(event_id AS VARCHAR) || ')'
-  ELSE CAST(event_id AS VARCHAR) || ' - ERROR - ❌ Failed to get data for ' || CASE event_type WHEN 'click'
+_LINE_SQL = f"""CASE WHEN event_type = 'signup' THEN CAST(event_id AS VARCHAR) || ' - ERROR - {fl.FAILURE_MARKERS[0]} '
+  || event_type || ' in ' || CAST(user_id AS VARCHAR) || ' ({fl.FAILURE_MARKERS[1]} ' || CAST(event_id AS VARCHAR) || ')'
+  ELSE CAST(event_id AS VARCHAR) || ' - ERROR - {fl.FAILURE_MARKERS[0]} ' || CASE event_type WHEN 'click'
   THEN 'click (' || props || ')' WHEN 'purchase' THEN 'purchase in store' ELSE '  ' || event_type || '  ' END
-  || ' in ' || CAST(user_id AS VARCHAR) || ' (Total failures: ' || CAST(event_id AS VARCHAR) || ', Consecutive: '
+  || ' in ' || CAST(user_id AS VARCHAR) || ' ({fl.FAILURE_MARKERS[1]} ' || CAST(event_id AS VARCHAR) || ', Consecutive: '
   || CAST(event_id % 10 AS VARCHAR) || ')' END"""
 
 
@@ -546,7 +546,7 @@ _ATTEMPT_LOG_SQL = """SELECT user_id, CAST(event_id AS VARCHAR) || ' - HTTP ' ||
 
 @register("log_auth_hits", f"""
 SELECT user_id, CAST(count(*) AS BIGINT) AS n FROM ({_ATTEMPT_LOG_SQL})
-WHERE regexp_matches(line, '(?i)401|unauthorized|token.*expired|authentication.*failed') GROUP BY 1""")
+WHERE regexp_matches(line, '(?i){fl.AUTH_PATTERN}') GROUP BY 1""")
 def q_log_auth_hits(spark, sf):
     a = attempts(Tables(spark, sf))
     line = F.concat(F.col("event_id").cast("string"), F.lit(" - HTTP "),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coverlens.operators.failures import FAILURE_MARKERS
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -116,11 +118,11 @@ def failure_log(t: Tables) -> DataFrame:
     name = (F.when(F.col("event_type") == "click", F.concat(F.col("event_type"), F.lit(" ("), F.col("props"), F.lit(")")))
             .when(F.col("event_type") == "purchase", F.lit("purchase in store"))
             .otherwise(F.concat(F.lit("  "), F.col("event_type"), F.lit("  "))))
-    fail = F.concat(eid, F.lit(" - ERROR - ❌ Failed to get data for "), name, F.lit(" in "), uid,
-                    F.lit(" (Total failures: "), eid, F.lit(", Consecutive: "), (F.col("event_id") % 10).cast("string"),
+    fail = F.concat(eid, F.lit(f" - ERROR - {FAILURE_MARKERS[0]} "), name, F.lit(" in "), uid,
+                    F.lit(f" ({FAILURE_MARKERS[1]} "), eid, F.lit(", Consecutive: "), (F.col("event_id") % 10).cast("string"),
                     F.lit(")"))
-    bad_tail = F.concat(eid, F.lit(" - ERROR - ❌ Failed to get data for "), F.col("event_type"), F.lit(" in "), uid,
-                        F.lit(" (Total failures: "), eid, F.lit(")"))
+    bad_tail = F.concat(eid, F.lit(f" - ERROR - {FAILURE_MARKERS[0]} "), F.col("event_type"), F.lit(" in "), uid,
+                        F.lit(f" ({FAILURE_MARKERS[1]} "), eid, F.lit(")"))
     info = F.concat(eid, F.lit(" - INFO - Processing "), F.col("event_type"), F.lit(" for "), uid)
     value = (F.when(F.col("event_type") == "view", info)
              .when(F.col("event_type") == "signup", bad_tail)
