@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coverlens.llm.common import free_prefix, quoted, save, seen_table
+from coverlens.llm.common import free_prefix, quoted, seen_table, store
 
 GRAM = 5
 PERCENT = 80
@@ -96,15 +96,15 @@ def line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = full.select("doc_id", "thash", "line_no", "tokens", F.size("tokens").alias("n"),
                         F.xxhash64("tokens").alias("key")).filter("n > 0")
     place = F.struct(F.col("doc_id").isNull().alias("a"), "doc_id", "thash", "line_no")
-    marks = save(keyed.select("doc_id", "thash", "line_no", "key"))
-    sets = save(marks.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")))
+    marks = store(keyed.select("doc_id", "thash", "line_no", "key"))
+    sets = store(marks.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")))
 
     front = F.slice("tokens", F.lit(1), F.col("n") - _need(F.col("n"), percent) + 1)
     posts = (keyed.select("key", "n", front.alias("front")).groupBy("key")
              .agg(F.first("n").alias("n"), F.first("front").alias("front"), F.count(F.lit(1)).alias("times"))
              .select("key", "n", "times", F.posexplode("front").alias("i", "t")))
     by_token = Window.partitionBy("t")
-    shared = save(posts.withColumn("hub", F.max(F.struct("times", "key", "n", "i")).over(by_token))
+    shared = store(posts.withColumn("hub", F.max(F.struct("times", "key", "n", "i")).over(by_token))
                   .withColumn("least", F.min("key").over(by_token)).withColumn("most", F.max("key").over(by_token))
                   .filter("least < most").select("t", "key", "n", "i", "hub"))
 
@@ -121,7 +121,7 @@ def line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def whole_sets(keys: DataFrame) -> DataFrame:
         """key, tokens, first of some sets, read again from the document of their first occurrence."""
-        wanted = save(keys.join(sets, "key").groupBy(F.col("first.doc_id").alias("m_id"), F.col("first.thash").alias("m_thash"))
+        wanted = store(keys.join(sets, "key").groupBy(F.col("first.doc_id").alias("m_id"), F.col("first.thash").alias("m_thash"))
                       .agg(F.collect_list("first.line_no").alias("numbers")))
         here = seen_table(wanted.select(F.col("m_thash").alias("h")))
         there = (base.filter(here(F.col("thash")))
@@ -129,12 +129,12 @@ def line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  .select(F.split("text", "\n", -1).alias("all"), "numbers"))
         one = there.select(F.explode(F.transform("numbers", lambda k: _words(F.get("all", k)))).alias("words"))
         one = _ordered(_plain(one, F.col("words")).select(_tokens(F.col("v"), gram).alias("tokens")), rarity, slots)
-        return save(one.select(F.xxhash64("tokens").alias("key"), "tokens").dropDuplicates(["key"])
+        return store(one.select(F.xxhash64("tokens").alias("key"), "tokens").dropDuplicates(["key"])
                     .join(sets.select("key", "first"), "key"))
 
     def late(pairs: DataFrame) -> DataFrame:
         """The later set of every pair that is similar."""
-        pairs = save(pairs)
+        pairs = store(pairs)
         texts = whole_sets(pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct())
         a = texts.select(F.col("key").alias("x"), F.col("tokens").alias("xt"), F.col("first").alias("xf"))
         b = texts.select(F.col("key").alias("y"), F.col("tokens").alias("yt"), F.col("first").alias("yf"))
@@ -143,7 +143,7 @@ def line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 .filter(100 * both >= percent * (F.size("xt") + F.size("yt") - both))
                 .select(F.when(F.col("xf") < F.col("yf"), F.col("y")).otherwise(F.col("x")).alias("key")).distinct())
 
-    gone = save(late(star))
+    gone = store(late(star))
     seen = shared.join(sets.select("key", "first"), "key").select("t", "key", "n", "i", "first", F.col("hub.key").alias("hub"))
     left = seen.join(gone, "key", "left_anti").select("t", *[F.col(c).alias("q_" + c) for c in ("key", "n", "i", "first", "hub")])
     rest = (left.join(seen, "t")
@@ -169,7 +169,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A document whose words are all removed goes; one that had none stays as it is.
     """
     t = free_prefix(docs.columns, "ld_")
-    cut = save(removed_lines(docs, id_col=id_col, text_col=text_col, **options).select(
+    cut = store(removed_lines(docs, id_col=id_col, text_col=text_col, **options).select(
         F.col("doc_id").alias(t + "id"), F.col("thash").alias(t + "hash"), F.col("gone").alias(t + "gone")))
     # Documents that surely lose nothing are not shuffled.
     loses = seen_table(cut.select(F.col(t + "hash").alias("h")))(F.xxhash64(quoted(text_col)))
