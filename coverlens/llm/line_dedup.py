@@ -9,6 +9,8 @@ one goes.  DataFrame functions only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,36 +20,72 @@ GRAM = 5
 PERCENT = 80
 #: Slots of the table of token counts that the rarity order is taken from (its size is fixed).
 RARITY_SLOTS = 1 << 16
+#: Bits of the tables of lines and sets to look at again: a fixed 512 KB, whatever the data.
+WIDE_BITS = 22
 _BLANKS = r"[\x20\x09-\x0D]+"
 
 
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), _BLANKS), "")
+    """Words in lower case; only a line with a blank other than a space needs the regular expression."""
+    low = F.lower(line)
+    odd = F.lit(False)
+    for c in "\t\n\v\f\r":
+        odd = odd | F.contains(line, F.lit(c))
+    return F.array_remove(F.when(odd, F.split(low, _BLANKS)).otherwise(F.split(low, " ")), "")
+
 
+def _run_hash(gram: int, word: Callable[[int], Column]) -> Column:
+    """Hash of one run, given its k-th word: of the hashes of its two parts, the first a power of two long."""
 
-def _tokens(words: Column, gram: int) -> Column:
-    """64-bit hashes of the runs of ``gram`` words; a shorter line is one run, a blank one has none."""
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - (gram - 1), F.lit(1))),
-                       lambda i: F.xxhash64(F.slice(words, i, gram)))
-    return F.when(F.size(words) > 0, runs).otherwise(F.array().cast("array<bigint>"))
+    def part(at: int, size: int) -> Column:
+        if size == 1:
+            return word(at)
+        left = 1 << ((size - 1).bit_length() - 1)
+        return F.xxhash64(part(at, left), part(at + left, size - left))
 
+    return part(0, gram) if gram > 1 else F.xxhash64(word(0))
 
-def _lines(docs: DataFrame, gram: int) -> DataFrame:
-    """doc_id, thash, line_no (from 0), tokens: one row per line; a null text has no lines."""
-    per_line = F.transform(F.split("text", "\n", -1), _words)
-    rows = docs.select("doc_id", "thash", F.posexplode(per_line).alias("line_no", "words"))
-    return _plain(rows, F.col("words"), "doc_id", "thash", "line_no").select(
-        "doc_id", "thash", "line_no", _tokens(F.col("v"), gram).alias("tokens"))
 
+def _tokens(df: DataFrame, gram: int, *keep: str) -> DataFrame:
+    """``keep`` and ``tokens`` from ``words``: the hashes of ``_run_hash`` for all runs, one pairing of arrays for each step.
 
-def _rarity(lines: DataFrame, slots: int) -> Column:
+    A shorter line is one run, a blank one has none.
+    """
+    def paired(size: int) -> str:
+        """Adds the column of all runs of ``size`` words (in an array of at least that many)."""
+        nonlocal df
+        name = f"h{size}"
+        if size == 1 or name in df.columns:
+            return "words" if size == 1 else name
+        left = 1 << ((size - 1).bit_length() - 1)
+        a, b = paired(left), paired(size - left)
+        count = F.greatest(F.size("words") - (size - 1), F.lit(0))
+        both = F.zip_with(F.slice(a, 1, count), F.slice(b, left + 1, count), lambda x, y: F.xxhash64(x, y))
+        df = _plain(df, both, *df.columns).withColumnRenamed("v", name)
+        return name
+
+    runs = F.col(paired(gram)) if gram > 1 else F.transform("words", lambda w: F.xxhash64(w))
+    whole = F.when(F.size("words") > 0, F.array(F.xxhash64("words"))).otherwise(F.array().cast("array<bigint>"))
+    return df.select(*keep, F.when(F.size("words") >= gram, runs).otherwise(whole).alias("tokens"))
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """doc_id, thash, line_no (from 0), words: one row per line; a null text has no lines."""
+    rows = docs.select("doc_id", "thash", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    return _plain(rows, _words(F.col("line")), "doc_id", "thash", "line_no").withColumnRenamed("v", "words")
+
+
+def _rarity(lines: DataFrame, gram: int, slots: int) -> Column:
     """Array of ``slots`` small numbers: the logarithm of how many tokens of all lines fall on each slot.
 
     The counts cover every line; the table that comes back has ``slots`` rows whatever the data
     and goes into the plan as one constant.
     """
     slot = F.col("t").bitwiseAND(slots - 1).cast("int")
-    counts = (lines.select(F.explode("tokens").alias("t")).groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    # The tokens of _tokens, each in a row of its own: generated code is a tenth of an array function's cost here.
+    at = lines.filter(F.size("words") > 0).select("words", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - gram, F.lit(0)))).alias("i"))
+    token = F.when(F.size("words") >= gram, _run_hash(gram, lambda k: F.get("words", F.col("i") + k))).otherwise(F.xxhash64("words"))
+    counts = (at.select(token.alias("t")).groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
               .select("slot", F.floor(F.log2(F.col("n") + 1)).cast("int").alias("level")))
     level = ["0"] * slots
     for r in counts.toLocalIterator():
@@ -62,7 +100,7 @@ def _plain(df: DataFrame, value: Column, *keep: str) -> DataFrame:
 
 def _ordered(df: DataFrame, rarity: Column, slots: int, *keep: str) -> DataFrame:
     """``keep`` and ``tokens``: distinct, rarest first (the count's logarithm in the top bits, the token's hash below)."""
-    ranked = F.transform("tokens", lambda t: F.shiftleft(F.get(rarity, t.bitwiseAND(slots - 1).cast("int")), 57)
+    ranked = F.transform("tokens", lambda t: F.shiftleft(F.coalesce(F.get(rarity, t.bitwiseAND(slots - 1).cast("int")), F.lit(0).cast("bigint")), 57)
                          .bitwiseOR(F.shiftrightunsigned(t, 7)))
     got = _plain(df, ranked, *keep)
     return _plain(got, F.sort_array(F.array_distinct("v")), *keep).withColumnRenamed("v", "tokens")
@@ -90,23 +128,22 @@ def line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     no earlier line has claimed by then are compared with the rest.
     """
     base = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text")).withColumn("thash", F.xxhash64("text"))
-    lines = _lines(base, gram)
-    rarity = _rarity(lines, slots)
-    full = _ordered(lines, rarity, slots, "doc_id", "thash", "line_no")
-    keyed = full.select("doc_id", "thash", "line_no", "tokens", F.size("tokens").alias("n"),
-                        F.xxhash64("tokens").alias("key")).filter("n > 0")
+    lines = _lines(base)
+    rarity = _rarity(lines, gram, slots)
+    full = _ordered(_tokens(lines, gram, "doc_id", "thash", "line_no"), rarity, slots, "doc_id", "thash", "line_no")
+    n = F.size("tokens")
+    # All texts are taken apart here, once; what follows reads these rows.
+    marks = store(full.filter(n > 0).select("doc_id", "thash", "line_no", F.xxhash64("tokens").alias("key"), n.alias("n"),
+                                            F.slice("tokens", F.lit(1), n - _need(n, percent) + 1).alias("front")))
     place = F.struct(F.col("doc_id").isNull().alias("a"), "doc_id", "thash", "line_no")
-    marks = store(keyed.select("doc_id", "thash", "line_no", "key"))
     sets = store(marks.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")))
 
-    front = F.slice("tokens", F.lit(1), F.col("n") - _need(F.col("n"), percent) + 1)
-    posts = (keyed.select("key", "n", front.alias("front")).groupBy("key")
-             .agg(F.first("n").alias("n"), F.first("front").alias("front"), F.count(F.lit(1)).alias("times"))
+    posts = (marks.groupBy("key").agg(F.first("n").alias("n"), F.first("front").alias("front"), F.count(F.lit(1)).alias("times"))
              .select("key", "n", "times", F.posexplode("front").alias("i", "t")))
     by_token = Window.partitionBy("t")
+    # A set has a token once, so two rows of a token are two sets.
     shared = store(posts.withColumn("hub", F.max(F.struct("times", "key", "n", "i")).over(by_token))
-                  .withColumn("least", F.min("key").over(by_token)).withColumn("most", F.max("key").over(by_token))
-                  .filter("least < most").select("t", "key", "n", "i", "hub"))
+                   .withColumn("sets", F.count(F.lit(1)).over(by_token)).filter("sets > 1").select("t", "key", "n", "i", "hub"))
 
     def passes(n: Column, i: Column, m: Column, j: Column) -> Column:
         """Length filter, and positional filter: the tokens from the shared one on must suffice for the overlap."""
@@ -120,40 +157,47 @@ def line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .select(F.col("key").alias("x"), F.col("hub.key").alias("y")).select(*pair).distinct())
 
     def whole_sets(keys: DataFrame) -> DataFrame:
-        """key, tokens, first of some sets, read again from the document of their first occurrence."""
-        wanted = store(keys.join(sets, "key").groupBy(F.col("first.doc_id").alias("m_id"), F.col("first.thash").alias("m_thash"))
-                      .agg(F.collect_list("first.line_no").alias("numbers")))
-        here = seen_table(wanted.select(F.col("m_thash").alias("h")))
-        there = (base.filter(here(F.col("thash")))
-                 .join(wanted, base["doc_id"].eqNullSafe(wanted["m_id"]) & (base["thash"] == wanted["m_thash"]))
-                 .select(F.split("text", "\n", -1).alias("all"), "numbers"))
-        one = there.select(F.explode(F.transform("numbers", lambda k: _words(F.get("all", k)))).alias("words"))
-        one = _ordered(_plain(one, F.col("words")).select(_tokens(F.col("v"), gram).alias("tokens")), rarity, slots)
-        return store(one.select(F.xxhash64("tokens").alias("key"), "tokens").dropDuplicates(["key"])
-                    .join(sets.select("key", "first"), "key"))
-
-    def late(pairs: DataFrame) -> DataFrame:
-        """The later set of every pair that is similar."""
+        """key, tokens, first of some sets, read again from the line of their first occurrence; only such lines are shuffled."""
+        wanted = store(keys.join(sets, "key").select("key", "first", F.col("first.doc_id").alias("m_id"),
+                                                     F.col("first.thash").alias("m_thash"), F.col("first.line_no").alias("m_no")))
+        text_seen = seen_table(wanted.select(F.col("m_thash").alias("h")), WIDE_BITS)
+        line_seen = seen_table(wanted.select(F.xxhash64("m_thash", "m_no").alias("h")), WIDE_BITS)
+        there = (base.filter(text_seen(F.col("thash")))
+                 .select("doc_id", "thash", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+                 .filter(line_seen(F.xxhash64("thash", "line_no"))))
+        found = (there.join(wanted, there["doc_id"].eqNullSafe(wanted["m_id"]) & (there["thash"] == wanted["m_thash"])
+                            & (there["line_no"] == wanted["m_no"]))
+                 .select("key", "first", "line").dropDuplicates(["key"]))
+        words = _plain(found, _words(F.col("line")), "key", "first").withColumnRenamed("v", "words")
+        return store(_ordered(_tokens(words, gram, "key", "first"), rarity, slots, "key", "first"))
+
+    def late(pairs: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        """The later set of every pair that is similar, and the whole sets read so far (``known``: those of an earlier call)."""
         pairs = store(pairs)
-        texts = whole_sets(pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct())
+        keys = pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct()
+        texts = whole_sets(keys) if known is None else known.unionByName(whole_sets(keys.join(known, "key", "left_anti")))
         a = texts.select(F.col("key").alias("x"), F.col("tokens").alias("xt"), F.col("first").alias("xf"))
         b = texts.select(F.col("key").alias("y"), F.col("tokens").alias("yt"), F.col("first").alias("yf"))
         both = F.size(F.array_intersect("xt", "yt"))
-        return (pairs.join(a, "x").join(b, "y")
-                .filter(100 * both >= percent * (F.size("xt") + F.size("yt") - both))
-                .select(F.when(F.col("xf") < F.col("yf"), F.col("y")).otherwise(F.col("x")).alias("key")).distinct())
+        found = (pairs.join(a, "x").join(b, "y")
+                 .filter(100 * both >= percent * (F.size("xt") + F.size("yt") - both))
+                 .select(F.when(F.col("xf") < F.col("yf"), F.col("y")).otherwise(F.col("x")).alias("key")).distinct())
+        return found, texts
 
-    gone = store(late(star))
+    gone, texts = late(star)
+    gone = store(gone)
     seen = shared.join(sets.select("key", "first"), "key").select("t", "key", "n", "i", "first", F.col("hub.key").alias("hub"))
     left = seen.join(gone, "key", "left_anti").select("t", *[F.col(c).alias("q_" + c) for c in ("key", "n", "i", "first", "hub")])
     rest = (left.join(seen, "t")
             .filter((F.col("first") < F.col("q_first")) & (F.col("key") != F.col("hub")) & passes(F.col("q_n"), F.col("q_i"), F.col("n"), F.col("i")))
             .select(F.col("q_key").alias("x"), F.col("key").alias("y")).select(*pair).distinct())
-    gone = gone.unionByName(late(rest)).distinct()
+    gone = gone.unionByName(late(rest, texts)[0]).distinct()
 
     # Every line of a set that goes, and every later line of a set that stays.
-    verdict = sets.join(gone.withColumn("late", F.lit(True)), "key", "left").filter("late or times > 1")
-    removed = (marks.join(verdict, "key").withColumn("place", place).filter(F.coalesce("late", F.lit(False)) | (F.col("place") != F.col("first")))
+    verdict = store(sets.join(gone.withColumn("late", F.lit(True)), "key", "left").filter("late or times > 1"))
+    decided = seen_table(verdict.select(F.col("key").alias("h")), WIDE_BITS)
+    removed = (marks.filter(decided(F.col("key"))).select("doc_id", "thash", "line_no", "key").join(verdict, "key").withColumn("place", place)
+               .filter(F.coalesce("late", F.lit(False)) | (F.col("place") != F.col("first")))
                .select("doc_id", "thash", "line_no").distinct())
     return removed
 
@@ -191,7 +235,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     cut = removed_lines(docs)
     own = docs.select("doc_id", F.xxhash64("text").alias("thash"),
-                      F.coalesce(F.length(F.regexp_replace("text", "[^\n]+", "")) + 1, F.lit(0)).cast("long").alias("n_lines"))
+                      F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long").alias("n_lines"))
     return (own.join(cut, own["doc_id"].eqNullSafe(cut["doc_id"]) & (own["thash"] == cut["thash"]), "left")
             .select(own["doc_id"], "n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
                     F.coalesce(F.array_join(F.col("gone").cast("array<string>"), ","), F.lit("")).alias("removed")))

@@ -3,6 +3,10 @@
 import random
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
+from coverlens.llm import line_dedup
 from coverlens.llm.line_dedup import dedup_lines, removed_lines
 
 
@@ -64,3 +68,34 @@ def test_null_ids_and_empty(spark):
     df = spark.createDataFrame([(None, line), (5, line + "\n" + line)], "doc_id long, text string")
     assert sorted((str(r.doc_id), r.gone) for r in removed_lines(df).collect()) == [("5", [1]), ("None", [0])]
     assert removed_lines(df.limit(0)).collect() == []
+
+
+def test_texts_are_taken_apart_once(spark, tmp, monkeypatch):
+    """One table is built from all texts; the others that read them take the lines of candidate pairs only."""
+    spark.createDataFrame(corpus(5), "doc_id long, text string").write.parquet(f"{tmp}/d")
+    read, keep = [], line_dedup.store
+    monkeypatch.setattr(line_dedup, "store", lambda df: (read.append((df.columns, df.inputFiles())), keep(df))[1])
+    removed_lines(spark.read.parquet(f"{tmp}/d"))
+    of_texts = [columns for columns, files in read if any(f"{tmp}/d/" in f for f in files)]
+    assert of_texts == [["doc_id", "thash", "line_no", "key", "n", "front"], ["key", "first", "tokens"], ["key", "first", "tokens"]]
+
+
+@pytest.mark.parametrize("gram", [1, 2, 3, 5, 6, 8])
+def test_counted_runs_are_the_tokens(spark, gram):
+    words = [f"w{k}" for k in range(9)]
+    df = spark.createDataFrame([(k, words[:k]) for k in range(10)], "k int, words array<string>")
+    got = {r.k: r.tokens for r in line_dedup._tokens(df, gram, "k").collect()}
+    one = line_dedup._run_hash(gram, lambda k: F.get("words", F.col("i") + k))
+    runs = df.select("k", "words", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("i")).filter(F.col("i") + gram <= F.col("k"))
+    want = {k: [] for k in range(10)}
+    for r in runs.select("k", "i", one.alias("t")).orderBy("i").collect():
+        want[r.k].append(r.t)
+    assert all(got[k] == want[k] and len(want[k]) == k - gram + 1 for k in range(gram, 10))
+    assert got[0] == [] and all(len(got[k]) == 1 for k in range(1, gram))
+
+
+def test_blanks(spark):
+    lines = ["", " ", "a  B\tc", "\ta\r", "\x0b\x0c", "É x\u00a0y ", None]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = [r.w for r in df.select(line_dedup._words(F.col("line")).alias("w")).collect()]
+    assert got == [None if x is None else re.findall(r"[^\x20\x09-\x0D]+", x.lower()) for x in lines]
