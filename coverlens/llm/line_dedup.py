@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coverlens.llm.common import free_prefix, quoted, seen_table, store
+from coverlens.llm.common import free_prefix, quoted, store, with_seen
 
 GRAM = 5
 PERCENT = 80
@@ -160,11 +160,10 @@ def line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         """key, tokens, first of some sets, read again from the line of their first occurrence; only such lines are shuffled."""
         wanted = store(keys.join(sets, "key").select("key", "first", F.col("first.doc_id").alias("m_id"),
                                                      F.col("first.thash").alias("m_thash"), F.col("first.line_no").alias("m_no")))
-        text_seen = seen_table(wanted.select(F.col("m_thash").alias("h")), WIDE_BITS)
-        line_seen = seen_table(wanted.select(F.xxhash64("m_thash", "m_no").alias("h")), WIDE_BITS)
-        there = (base.filter(text_seen(F.col("thash")))
-                 .select("doc_id", "thash", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-                 .filter(line_seen(F.xxhash64("thash", "line_no"))))
+        texts = with_seen(base, F.col("thash"), wanted.select(F.col("m_thash").alias("h")), "seen", WIDE_BITS).filter("seen")
+        there = texts.select("doc_id", "thash", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+        there = with_seen(there, F.xxhash64("thash", "line_no"), wanted.select(F.xxhash64("m_thash", "m_no").alias("h")), "seen",
+                          WIDE_BITS).filter("seen").drop("seen")
         found = (there.join(wanted, there["doc_id"].eqNullSafe(wanted["m_id"]) & (there["thash"] == wanted["m_thash"])
                             & (there["line_no"] == wanted["m_no"]))
                  .select("key", "first", "line").dropDuplicates(["key"]))
@@ -195,8 +194,8 @@ def line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # Every line of a set that goes, and every later line of a set that stays.
     verdict = store(sets.join(gone.withColumn("late", F.lit(True)), "key", "left").filter("late or times > 1"))
-    decided = seen_table(verdict.select(F.col("key").alias("h")), WIDE_BITS)
-    removed = (marks.filter(decided(F.col("key"))).select("doc_id", "thash", "line_no", "key").join(verdict, "key").withColumn("place", place)
+    decided = with_seen(marks.select("doc_id", "thash", "line_no", "key"), F.col("key"), verdict.select(F.col("key").alias("h")), "seen", WIDE_BITS)
+    removed = (decided.filter("seen").drop("seen").join(verdict, "key").withColumn("place", place)
                .filter(F.coalesce("late", F.lit(False)) | (F.col("place") != F.col("first")))
                .select("doc_id", "thash", "line_no").distinct())
     return removed
@@ -216,8 +215,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = store(removed_lines(docs, id_col=id_col, text_col=text_col, **options).select(
         F.col("doc_id").alias(t + "id"), F.col("thash").alias(t + "hash"), F.col("gone").alias(t + "gone")))
     # Documents that surely lose nothing are not shuffled.
-    loses = seen_table(cut.select(F.col(t + "hash").alias("h")))(F.xxhash64(quoted(text_col)))
-    rows = docs.filter(loses).join(
+    told = with_seen(docs, F.xxhash64(quoted(text_col)), cut.select(F.col(t + "hash").alias("h")), t + "loses")
+    rows = told.filter(quoted(t + "loses")).join(
         cut, quoted(id_col).eqNullSafe(F.col(t + "id")) & (F.xxhash64(quoted(text_col)) == F.col(t + "hash")), "left")
     # The numbers are sorted, so each gap between two of them is a slice of the lines.
     gone = F.col(t + "gone")
@@ -228,14 +227,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cleaned = (rows.withColumn(t + "new", text)
                .filter(gone.isNull() | F.col(t + "new").rlike(r"[^\x20\x09-\x0D]"))
                .select(*[F.col(t + "new").alias(c) if c.lower() == text_col.lower() else quoted(c) for c in docs.columns]))
-    return docs.filter(~loses).unionByName(cleaned)
+    return told.filter(~quoted(t + "loses")).drop(t + "loses").unionByName(cleaned)
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     cut = removed_lines(docs)
+    feeds = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
     own = docs.select("doc_id", F.xxhash64("text").alias("thash"),
-                      F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long").alias("n_lines"))
+                      F.when(F.col("text").isNull(), 0).otherwise(feeds + 1).cast("long").alias("n_lines"))
     return (own.join(cut, own["doc_id"].eqNullSafe(cut["doc_id"]) & (own["thash"] == cut["thash"]), "left")
             .select(own["doc_id"], "n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
                     F.coalesce(F.array_join(F.col("gone").cast("array<string>"), ","), F.lit("")).alias("removed")))

@@ -99,3 +99,21 @@ def test_blanks(spark):
     df = spark.createDataFrame([(x,) for x in lines], "line string")
     got = [r.w for r in df.select(line_dedup._words(F.col("line")).alias("w")).collect()]
     assert got == [None if x is None else re.findall(r"[^\x20\x09-\x0D]+", x.lower()) for x in lines]
+
+
+def test_tables_of_lines_are_no_part_of_a_plan(spark, monkeypatch):
+    """The driver keeps descriptions of each plan, so only the table of token counts may stand in one as a constant."""
+    plans, keep = [], line_dedup.store
+    monkeypatch.setattr(line_dedup, "store", lambda df: (plans.append(df), keep(df))[1])
+    df = spark.createDataFrame(corpus(7), "doc_id long, text string")
+    slots = 1 << 8
+    plans += [removed_lines(df, slots=slots), dedup_lines(df, slots=slots)]
+    sizes = [len(p._jdf.queryExecution().optimizedPlan().toString()) for p in plans]
+    assert len(sizes) > 10 and max(sizes) < 100_000
+
+
+def test_line_counts(spark, tmp):
+    rows = [(0, None), (1, ""), (2, "\n"), (3, "a"), (4, "\u00e9\n\r\n\n"), (5, "a\nb\nc")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp}/documents.parquet")
+    got = {r.doc_id: r.n_lines for r in line_dedup.op6_line_dedup(spark, tmp).collect()}
+    assert got == {i: 0 if t is None else len(t.split("\n")) for i, t in rows}
