@@ -26,53 +26,46 @@ _BLANKS = r"[\x20\x09-\x0D]+"
 
 
 def _words(line: Column) -> Column:
-    """Words in lower case; only a line with a blank other than a space needs the regular expression."""
+    """Words in lower case; only a line (that has no line feed) with a blank other than a space needs the regular expression."""
     low = F.lower(line)
     odd = F.lit(False)
-    for c in "\t\n\v\f\r":
+    for c in "\t\v\f\r":
         odd = odd | F.contains(line, F.lit(c))
-    return F.array_remove(F.when(odd, F.split(low, _BLANKS)).otherwise(F.split(low, " ")), "")
+    # Without two blanks in a row or one at an end no piece is empty.
+    gaps = F.contains(line, F.lit("  ")) | F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" ")) | (line == "")
+    return (F.when(odd, F.array_remove(F.split(low, _BLANKS), "")).when(gaps, F.array_remove(F.split(low, " "), ""))
+            .otherwise(F.split(low, " ")))
 
 
 def _run_hash(gram: int, word: Callable[[int], Column]) -> Column:
-    """Hash of one run, given its k-th word: of the hashes of its two parts, the first a power of two long."""
+    """Hash of one run, given its k-th word: of the hashes of its words."""
+    return F.xxhash64(*[F.xxhash64(word(k)) for k in range(gram)])
 
-    def part(at: int, size: int) -> Column:
-        if size == 1:
-            return word(at)
-        left = 1 << ((size - 1).bit_length() - 1)
-        return F.xxhash64(part(at, left), part(at + left, size - left))
 
-    return part(0, gram) if gram > 1 else F.xxhash64(word(0))
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once and goes through no row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _tokens(df: DataFrame, gram: int, *keep: str) -> DataFrame:
-    """``keep`` and ``tokens`` from ``words``: the hashes of ``_run_hash`` for all runs, one pairing of arrays for each step.
+    """``keep`` and ``tokens`` from ``words``: the hashes of ``_run_hash`` for all runs, each word hashed once.
 
     A shorter line is one run, a blank one has none.
     """
-    def paired(size: int) -> str:
-        """Adds the column of all runs of ``size`` words (in an array of at least that many)."""
-        nonlocal df
-        name = f"h{size}"
-        if size == 1 or name in df.columns:
-            return "words" if size == 1 else name
-        left = 1 << ((size - 1).bit_length() - 1)
-        a, b = paired(left), paired(size - left)
-        count = F.greatest(F.size("words") - (size - 1), F.lit(0))
-        both = F.zip_with(F.slice(a, 1, count), F.slice(b, left + 1, count), lambda x, y: F.xxhash64(x, y))
-        df = _plain(df, both, *df.columns).withColumnRenamed("v", name)
-        return name
-
-    runs = F.col(paired(gram)) if gram > 1 else F.transform("words", lambda w: F.xxhash64(w))
-    whole = F.when(F.size("words") > 0, F.array(F.xxhash64("words"))).otherwise(F.array().cast("array<bigint>"))
-    return df.select(*keep, F.when(F.size("words") >= gram, runs).otherwise(whole).alias("tokens"))
+    def runs(hashes: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(hashes) - gram)
+        return F.transform(starts, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(gram)]))
+
+    def tokens(words: Column) -> Column:
+        whole = F.when(F.size(words) > 0, F.array(F.xxhash64(words))).otherwise(F.array().cast("array<bigint>"))
+        return F.when(F.size(words) >= gram, _with(F.transform(words, lambda w: F.xxhash64(w)), runs)).otherwise(whole)
+
+    return df.select(*keep, _with(F.col("words"), tokens).alias("tokens"))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, thash, line_no (from 0), words: one row per line; a null text has no lines."""
-    rows = docs.select("doc_id", "thash", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    return _plain(rows, _words(F.col("line")), "doc_id", "thash", "line_no").withColumnRenamed("v", "words")
+    """doc_id, thash, line_no (from 0), line: one row per line; a null text has no lines."""
+    return docs.select("doc_id", "thash", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
 
 
 def _rarity(lines: DataFrame, gram: int, slots: int) -> Column:
@@ -83,7 +76,8 @@ def _rarity(lines: DataFrame, gram: int, slots: int) -> Column:
     """
     slot = F.col("t").bitwiseAND(slots - 1).cast("int")
     # The tokens of _tokens, each in a row of its own: generated code is a tenth of an array function's cost here.
-    at = lines.filter(F.size("words") > 0).select("words", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - gram, F.lit(0)))).alias("i"))
+    words = _plain(lines, _words(F.col("line"))).withColumnRenamed("v", "words")
+    at = words.filter(F.size("words") > 0).select("words", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - gram, F.lit(0)))).alias("i"))
     token = F.when(F.size("words") >= gram, _run_hash(gram, lambda k: F.get("words", F.col("i") + k))).otherwise(F.xxhash64("words"))
     counts = (at.select(token.alias("t")).groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
               .select("slot", F.floor(F.log2(F.col("n") + 1)).cast("int").alias("level")))
@@ -102,7 +96,7 @@ def _ordered(df: DataFrame, rarity: Column, slots: int, *keep: str) -> DataFrame
     """``keep`` and ``tokens``: distinct, rarest first (the count's logarithm in the top bits, the token's hash below)."""
     ranked = F.transform("tokens", lambda t: F.shiftleft(F.coalesce(F.get(rarity, t.bitwiseAND(slots - 1).cast("int")), F.lit(0).cast("bigint")), 57)
                          .bitwiseOR(F.shiftrightunsigned(t, 7)))
-    got = _plain(df, ranked, *keep)
+    got = df.select(*keep, ranked.alias("v"))
     return _plain(got, F.sort_array(F.array_distinct("v")), *keep).withColumnRenamed("v", "tokens")
 
 
@@ -130,7 +124,8 @@ def line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text")).withColumn("thash", F.xxhash64("text"))
     lines = _lines(base)
     rarity = _rarity(lines, gram, slots)
-    full = _ordered(_tokens(lines, gram, "doc_id", "thash", "line_no"), rarity, slots, "doc_id", "thash", "line_no")
+    of_line = ("doc_id", "thash", "line_no")
+    full = _ordered(_tokens(lines.select(*of_line, _words(F.col("line")).alias("words")), gram, *of_line), rarity, slots, *of_line)
     n = F.size("tokens")
     # All texts are taken apart here, once; what follows reads these rows.
     marks = store(full.filter(n > 0).select("doc_id", "thash", "line_no", F.xxhash64("tokens").alias("key"), n.alias("n"),
@@ -167,7 +162,7 @@ def line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         found = (there.join(wanted, there["doc_id"].eqNullSafe(wanted["m_id"]) & (there["thash"] == wanted["m_thash"])
                             & (there["line_no"] == wanted["m_no"]))
                  .select("key", "first", "line").dropDuplicates(["key"]))
-        words = _plain(found, _words(F.col("line")), "key", "first").withColumnRenamed("v", "words")
+        words = found.select("key", "first", _words(F.col("line")).alias("words"))
         return store(_ordered(_tokens(words, gram, "key", "first"), rarity, slots, "key", "first"))
 
     def late(pairs: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

@@ -117,3 +117,20 @@ def test_line_counts(spark, tmp):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp}/documents.parquet")
     got = {r.doc_id: r.n_lines for r in line_dedup.op6_line_dedup(spark, tmp).collect()}
     assert got == {i: 0 if t is None else len(t.split("\n")) for i, t in rows}
+
+
+def test_words_and_tokens_are_no_rows_of_their_own(spark, monkeypatch):
+    """From a line to its ordered tokens only the lines and the sorted sets are rows; words and run hashes stay inside one expression."""
+    plans, keep = [], line_dedup.store
+    monkeypatch.setattr(line_dedup, "store", lambda df: (plans.append(df), keep(df))[1])
+    removed_lines(spark.createDataFrame(corpus(9), "doc_id long, text string"), slots=1 << 8)
+    marks = plans[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert marks.count("Generate ") == 2 and marks.count("sort_array(") == 1
+
+
+def test_gaps_between_words(spark):
+    rng = random.Random(4)
+    lines = ["".join(rng.choice(["a", "B", " ", " ", "\t", "É"][:k]) for _ in range(rng.randint(0, 9))) for k in (2, 3, 4, 6) for _ in range(60)]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = [(r.line, r.w) for r in df.select("line", line_dedup._words(F.col("line")).alias("w")).collect()]
+    assert got == [(x, re.findall(r"[^\x20\x09-\x0D]+", x.lower())) for x in lines]
