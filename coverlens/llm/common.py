@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,20 +15,55 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside remove their shuffle files when they end.
+
+    Otherwise the files of all steps stay until the driver happens to collect its garbage, which
+    it does no more often on a large input.  A stage that is run again computes them anew.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before) if before else spark.conf.unset(_CLEANUP)
+
+
 def save(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder of spark.checkpoint.dir: computed once, survives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with shuffles_removed(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # the setting is read when a query is built
 
 
 def store(df: DataFrame) -> DataFrame:
     """``df`` as Parquet in the folder of spark.checkpoint.dir: computed once like ``save``, in a fraction of the room.
 
     For long tables of few columns: a checkpoint holds whole rows uncompressed, Parquet packs what repeats.
+    ``drop`` removes the table when nothing reads it any more.
     """
     path = work_dir(df.sparkSession, "store")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove the files of tables made by ``store``; no DataFrame that is still to be run may read them."""
+    for table in tables:
+        remove(table.sparkSession, table.stored_at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``work_dir`` named, in whatever store it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def free_prefix(columns: Iterable[str], wanted: str) -> str:

@@ -10,11 +10,12 @@ one goes.  DataFrame functions only.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coverlens.llm.common import free_prefix, quoted, store, with_seen
+from coverlens.llm.common import drop, free_prefix, quoted, store, with_seen
 
 GRAM = 5
 PERCENT = 80
@@ -22,6 +23,10 @@ PERCENT = 80
 RARITY_SLOTS = 1 << 16
 #: Bits of the tables of lines and sets to look at again: a fixed 512 KB, whatever the data.
 WIDE_BITS = 22
+#: Rounds that the lists of lines around a token are made in: only one round's tokens are in a shuffle at a time.
+ROUNDS = 2
+#: Bits of a set's length and of a token's place in it: an array of longs has fewer members than that.
+_SIZE_BITS = 28
 _BLANKS = r"[\x20\x09-\x0D]+"
 
 
@@ -121,6 +126,12 @@ def line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     token is not paired out: all meet the list's most frequent set first, and only those that
     no earlier line has claimed by then are compared with the rest.
     """
+    return _line_marks(docs, id_col, text_col, gram, percent, slots)[0]
+
+
+def _line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, percent: int = PERCENT,
+                slots: int = RARITY_SLOTS, rounds: int = ROUNDS) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows of ``line_marks``, and the stored tables that they are still read from."""
     base = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text")).withColumn("thash", F.xxhash64("text"))
     lines = _lines(base)
     rarity = _rarity(lines, gram, slots)
@@ -133,12 +144,37 @@ def line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     place = F.struct(F.col("doc_id").isNull().alias("a"), "doc_id", "thash", "line_no")
     sets = store(marks.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")))
 
-    posts = (marks.groupBy("key").agg(F.first("n").alias("n"), F.first("front").alias("front"), F.count(F.lit(1)).alias("times"))
-             .select("key", "n", "times", F.posexplode("front").alias("i", "t")))
+    # A set of one line goes to its tokens as it is; only those of several lines are gathered first.
+    known = with_seen(marks.select("key", "n", "front"), F.col("key"), sets.filter("times > 1").select(F.col("key").alias("h")), "seen", WIDE_BITS)
+    whole = (known.filter("seen").groupBy("key").agg(F.first("n").alias("n"), F.first("front").alias("front"), F.count(F.lit(1)).alias("times"))
+             .unionByName(known.filter(~F.col("seen")).select("key", "n", "front", F.lit(1).cast("long").alias("times"))))
+    # A row of the shuffle is three longs: the token, the set, and its frequency (a logarithm), length and place in one.
+    often = F.least(F.floor(4 * F.log2(F.col("times"))), F.lit(127)).cast("long")
+    about = F.shiftleft(often, 2 * _SIZE_BITS).bitwiseOR(F.shiftleft(F.col("n").cast("long"), _SIZE_BITS)).alias("about")
+    posts = whole.select("key", about, F.posexplode("front").alias("i", "t")).select("t", "key", F.col("about").bitwiseOR(F.col("i").cast("long")).alias("about"))
     by_token = Window.partitionBy("t")
-    # A set has a token once, so two rows of a token are two sets.
-    shared = store(posts.withColumn("hub", F.max(F.struct("times", "key", "n", "i")).over(by_token))
-                   .withColumn("sets", F.count(F.lit(1)).over(by_token)).filter("sets > 1").select("t", "key", "n", "i", "hub"))
+
+    def size(about: str) -> Column:
+        return F.shiftright(about, _SIZE_BITS).bitwiseAND((1 << _SIZE_BITS) - 1).cast("int")
+
+    def at(about: str) -> Column:
+        return F.col(about).bitwiseAND((1 << _SIZE_BITS) - 1).cast("int")
+
+    def lists(part: int) -> DataFrame:
+        """Sets that share a token of this round, each with its list's most frequent set (the hub); ``more`` tells lists of over two."""
+        here = posts.filter(F.pmod("t", F.lit(rounds)) == part)
+        # A set has a token once, so two rows of a token are two sets.
+        return (here.withColumn("hub", F.max(F.struct(F.shiftright("about", 2 * _SIZE_BITS).alias("often"), "key", "about")).over(by_token))
+                .withColumn("sets", F.count(F.lit(1)).over(by_token)).filter("sets > 1")
+                .select("t", "key", size("about").alias("n"), at("about").alias("i"), F.col("hub.key").alias("hub"),
+                        size("hub.about").alias("hub_n"), at("hub.about").alias("hub_i"), (F.col("sets") > 2).alias("more")))
+
+    parts = [store(lists(k)) for k in range(rounds)]
+    shared = reduce(DataFrame.unionByName, parts)
+    places = store(marks.select("doc_id", "thash", "line_no", "key"))
+    drop(marks)
+    # Every token that the fronts of two sets have in common is in both sets' rows here.
+    fronts = store(shared.groupBy("key").agg(F.first("n").alias("n"), F.collect_list("t").alias("front")))
 
     def passes(n: Column, i: Column, m: Column, j: Column) -> Column:
         """Length filter, and positional filter: the tokens from the shared one on must suffice for the overlap."""
@@ -146,10 +182,17 @@ def line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         enough = (100 + percent) * F.least(n - i, m - j) >= percent * (n + m)
         return lengths & enough
 
+    def likely(pairs: DataFrame) -> DataFrame:
+        """Pairs with enough tokens in common: of two fronts, the one that ends first in the order has all its common tokens
+        in the other, so the overlap is at most theirs and what lies behind that front."""
+        a, b = (fronts.select(F.col("key").alias(k), F.col("n").alias("n" + k), F.col("front").alias("f" + k)) for k in "xy")
+        behind = F.greatest(_need(F.col("nx"), percent), _need(F.col("ny"), percent)) - 1
+        most = F.size(F.array_intersect("fx", "fy")) + behind
+        return (pairs.join(a, "x").join(b, "y").filter((100 + percent) * most >= percent * (F.col("nx") + F.col("ny"))).select("x", "y"))
+
     pair = [F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")]
-    star = (shared.filter((F.col("key") != F.col("hub.key"))
-                          & passes(F.col("n"), F.col("i"), F.col("hub.n"), F.col("hub.i")))
-            .select(F.col("key").alias("x"), F.col("hub.key").alias("y")).select(*pair).distinct())
+    star = (shared.filter((F.col("key") != F.col("hub")) & passes(F.col("n"), F.col("i"), F.col("hub_n"), F.col("hub_i")))
+            .select(F.col("key").alias("x"), F.col("hub").alias("y")).select(*pair).distinct())
 
     def whole_sets(keys: DataFrame) -> DataFrame:
         """key, tokens, first of some sets, read again from the line of their first occurrence; only such lines are shuffled."""
@@ -163,42 +206,54 @@ def line_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                             & (there["line_no"] == wanted["m_no"]))
                  .select("key", "first", "line").dropDuplicates(["key"]))
         words = found.select("key", "first", _words(F.col("line")).alias("words"))
-        return store(_ordered(_tokens(words, gram, "key", "first"), rarity, slots, "key", "first"))
+        got = store(_ordered(_tokens(words, gram, "key", "first"), rarity, slots, "key", "first"))
+        drop(wanted)
+        return got
 
-    def late(pairs: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-        """The later set of every pair that is similar, and the whole sets read so far (``known``: those of an earlier call)."""
-        pairs = store(pairs)
+    def late(pairs: DataFrame, known: list[DataFrame]) -> DataFrame:
+        """The later set of every pair that is similar.  ``known`` holds the whole sets read so far, and takes those read now."""
+        pairs = store(likely(pairs))
         keys = pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct()
-        texts = whole_sets(keys) if known is None else known.unionByName(whole_sets(keys.join(known, "key", "left_anti")))
+        known.append(whole_sets(reduce(lambda k, texts: k.join(texts, "key", "left_anti"), known, keys)))
+        texts = reduce(DataFrame.unionByName, known)
         a = texts.select(F.col("key").alias("x"), F.col("tokens").alias("xt"), F.col("first").alias("xf"))
         b = texts.select(F.col("key").alias("y"), F.col("tokens").alias("yt"), F.col("first").alias("yf"))
         both = F.size(F.array_intersect("xt", "yt"))
-        found = (pairs.join(a, "x").join(b, "y")
-                 .filter(100 * both >= percent * (F.size("xt") + F.size("yt") - both))
-                 .select(F.when(F.col("xf") < F.col("yf"), F.col("y")).otherwise(F.col("x")).alias("key")).distinct())
-        return found, texts
-
-    gone, texts = late(star)
-    gone = store(gone)
-    seen = shared.join(sets.select("key", "first"), "key").select("t", "key", "n", "i", "first", F.col("hub.key").alias("hub"))
-    left = seen.join(gone, "key", "left_anti").select("t", *[F.col(c).alias("q_" + c) for c in ("key", "n", "i", "first", "hub")])
+        found = store(pairs.join(a, "x").join(b, "y")
+                      .filter(100 * both >= percent * (F.size("xt") + F.size("yt") - both))
+                      .select(F.when(F.col("xf") < F.col("yf"), F.col("y")).otherwise(F.col("x")).alias("key")).distinct())
+        drop(pairs)
+        return found
+
+    texts: list[DataFrame] = []
+    gone = late(star, texts)
+    # All pairs with a list's hub are done, and so are lists of two.
+    seen = (shared.filter(F.col("more") & (F.col("key") != F.col("hub"))).join(sets.select("key", "first"), "key")
+            .select("t", "key", "n", "i", "first"))
+    left = seen.join(gone, "key", "left_anti").select("t", *[F.col(c).alias("q_" + c) for c in ("key", "n", "i", "first")])
     rest = (left.join(seen, "t")
-            .filter((F.col("first") < F.col("q_first")) & (F.col("key") != F.col("hub")) & passes(F.col("q_n"), F.col("q_i"), F.col("n"), F.col("i")))
+            .filter((F.col("first") < F.col("q_first")) & passes(F.col("q_n"), F.col("q_i"), F.col("n"), F.col("i")))
             .select(F.col("q_key").alias("x"), F.col("key").alias("y")).select(*pair).distinct())
-    gone = gone.unionByName(late(rest, texts)[0]).distinct()
+    more = late(rest, texts)
+    drop(fronts, *parts, *texts)
 
     # Every line of a set that goes, and every later line of a set that stays.
-    verdict = store(sets.join(gone.withColumn("late", F.lit(True)), "key", "left").filter("late or times > 1"))
-    decided = with_seen(marks.select("doc_id", "thash", "line_no", "key"), F.col("key"), verdict.select(F.col("key").alias("h")), "seen", WIDE_BITS)
+    out = gone.unionByName(more).distinct()
+    verdict = store(sets.join(out.withColumn("late", F.lit(True)), "key", "left").filter("late or times > 1"))
+    drop(sets, gone, more)
+    decided = with_seen(places, F.col("key"), verdict.select(F.col("key").alias("h")), "seen", WIDE_BITS)
     removed = (decided.filter("seen").drop("seen").join(verdict, "key").withColumn("place", place)
                .filter(F.coalesce("late", F.lit(False)) | (F.col("place") != F.col("first")))
                .select("doc_id", "thash", "line_no").distinct())
-    return removed
+    return removed, [places, verdict]
 
 
 def removed_lines(docs: DataFrame, **options) -> DataFrame:
     """One row per document that loses lines: doc_id, thash, the sorted numbers of the lines that go."""
-    return line_marks(docs, **options).groupBy("doc_id", "thash").agg(F.sort_array(F.collect_list("line_no")).alias("gone"))
+    marks, read = _line_marks(docs, **options)
+    gone = store(marks.groupBy("doc_id", "thash").agg(F.sort_array(F.collect_list("line_no")).alias("gone")))
+    drop(*read)
+    return gone
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -207,8 +262,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A document whose words are all removed goes; one that had none stays as it is.
     """
     t = free_prefix(docs.columns, "ld_")
-    cut = store(removed_lines(docs, id_col=id_col, text_col=text_col, **options).select(
-        F.col("doc_id").alias(t + "id"), F.col("thash").alias(t + "hash"), F.col("gone").alias(t + "gone")))
+    cut = removed_lines(docs, id_col=id_col, text_col=text_col, **options).select(
+        F.col("doc_id").alias(t + "id"), F.col("thash").alias(t + "hash"), F.col("gone").alias(t + "gone"))
     # Documents that surely lose nothing are not shuffled.
     told = with_seen(docs, F.xxhash64(quoted(text_col)), cut.select(F.col(t + "hash").alias("h")), t + "loses")
     rows = told.filter(quoted(t + "loses")).join(

@@ -1,12 +1,15 @@
 """Line dedup against a brute-force comparison of all lines."""
 
+import os
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from coverlens.llm import line_dedup
+from coverlens.llm.common import save, store
 from coverlens.llm.line_dedup import dedup_lines, removed_lines
 
 
@@ -134,3 +137,64 @@ def test_gaps_between_words(spark):
     df = spark.createDataFrame([(x,) for x in lines], "line string")
     got = [(r.line, r.w) for r in df.select("line", line_dedup._words(F.col("line")).alias("w")).collect()]
     assert got == [(x, re.findall(r"[^\x20\x09-\x0D]+", x.lower())) for x in lines]
+
+
+def folders(spark):
+    return {p for p in os.listdir(spark.conf.get("spark.checkpoint.dir")) if p.startswith("store-")}
+
+
+def test_steps_leave_no_tables(spark):
+    """Of all tables between the steps only the result's is left."""
+    before = folders(spark)
+    gone = removed_lines(spark.createDataFrame(corpus(11), "doc_id long, text string"), slots=1 << 8)
+    assert len(folders(spark) - before) == 1
+    assert gone.count() > 0
+
+
+def test_shuffle_files_go_with_their_step(spark):
+    def shuffled():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ").split()
+        return {b for b in blocks if b.startswith("shuffle_")}
+
+    before = shuffled()
+    for keep in (store, save):
+        df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        out = keep(df)
+        for _ in range(50):
+            if not shuffled() - before:
+                break
+            time.sleep(0.1)
+        assert not shuffled() - before
+        assert sorted(r.k for r in out.collect()) == list(range(7))
+        before |= shuffled()
+
+
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_lists_in_rounds_and_pairs_by_their_fronts(spark, monkeypatch, rounds):
+    """Chains of lines that share tokens in long lists, each alike to some of the others only; few pairs come to the whole sets."""
+    rng = random.Random(rounds)
+    rows = []
+    for _ in range(6):
+        w = [f"a{rng.randrange(10**6)}" for _ in range(50)]
+        for _ in range(14):
+            w = list(w)
+            for k in rng.sample(range(50), rng.choice([0, 1, 1, 2])):
+                w[k] = f"b{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(w)))
+    want = brute(rows)
+    pairs, keep = [], line_dedup.store
+
+    def seen(df):
+        out = keep(df)
+        if df.columns == ["x", "y"]:
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "store", seen)
+    marks, _ = line_dedup._line_marks(spark.createDataFrame(rows, "doc_id long, text string"), rounds=rounds)
+    got = {}
+    for r in marks.collect():
+        got.setdefault((r.doc_id, rows[r.doc_id][1]), []).append(r.line_no)
+    assert got == want and 0 < len(want) < len(rows)
+    shared = sum(bool(tokens(a) & tokens(b)) for i, (_, a) in enumerate(rows) for _, b in rows[:i])
+    assert len(pairs) == 2 and sum(pairs) < shared / 2
