@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from coverlens.llm import decontaminate, language_id, line_dedup, mixing, ngram_join
+from coverlens.llm.common import remove, shuffles_removed
 from coverlens.session import work_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -52,13 +53,18 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, each written and read again."""
+    """The stages applied to ``documents``, each written and read again; what a stage has read goes when its own rows are written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     root = work_dir(spark, "pipeline")
+    before = None
     for i, (name, stage) in enumerate(STAGES):
         path = f"{root}/{i}_{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with shuffles_removed(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
 
 

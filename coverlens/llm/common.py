@@ -125,12 +125,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternates large-star and small-star steps: each node links its neighbours to the least
     one it knows, until nothing changes.  Every step is an aggregate and a join on the node;
-    the edge list never grows beyond its first size, and each step is checkpointed.  Nodes
-    are never gathered anywhere.  ``max_rounds`` only guards against a defect: steps shrink
+    the edge list never grows beyond its first size, and each step is stored in the place of the
+    one before; ``drop`` removes the last.  Nodes are never gathered anywhere.  ``max_rounds`` only guards against a defect: steps shrink
     the diameter geometrically, and an error is raised rather than a partial answer returned.
     Empty input gives an empty result.
     """
-    e = save(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    e = store(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
     for _ in range(max_rounds):
         # Large star: every neighbour above a node points to the least of the node's neighbourhood.
@@ -141,11 +141,14 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # Small star: a node and its lower neighbours point to the least of these.
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a")
-        e = save(small.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-                 .unionByName(low.select("a", F.col("m").alias("b"))).distinct())
+        last, e = e, store(small.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+                           .unionByName(low.select("a", F.col("m").alias("b"))).distinct())
+        drop(last)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
-            return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+            out = e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+            out.stored_at = e.stored_at
+            return out
         before = now
     raise RuntimeError("connected components did not settle")

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coverlens.llm.common import components, free_prefix, quoted, save, seen_table
+from coverlens.llm.common import components, drop, free_prefix, quoted, seen_table, store
 from coverlens.llm.words import BLANKS, U, distinct_sorted, gram_hashes, mix, utf8, word_hashes
 
 GRAM = 5
@@ -97,8 +97,11 @@ def common_table(docs: DataFrame, text_col: str, gram: int, common: int, bits: i
     counted = docs.select(quoted(text_col).alias("text")).mapInArrow(_front(gram), "g long, n int")
     often = counted.groupBy("g").agg(F.sum("n").alias("n")).filter(F.col("n") >= common)
     slot = F.col("g").bitwiseAND((1 << bits) - 1)
-    words = (often.select(F.shiftright(slot, 6).cast("int").alias("word"), (slot % 64).cast("int").alias("bit"))
-             .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")).toPandas())
+    # Stored, so that the shuffle of the counts is gone before the next step.
+    masks = store(often.select(F.shiftright(slot, 6).cast("int").alias("word"), (slot % 64).cast("int").alias("bit"))
+                  .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")))
+    words = masks.toPandas()
+    drop(masks)
     if not len(words):
         return None
     table = np.zeros(1 << (bits - 6), np.int64)
@@ -157,10 +160,15 @@ def candidate_pairs(rows: DataFrame, percent: int, paired: int = PAIRED) -> Data
     connected, at the cost of one edge for each set.  N-grams of longer lists are not counted,
     so as many of them as both sets have are taken to be shared.
     """
+    return _candidate_pairs(rows, percent, paired)[0]
+
+
+def _candidate_pairs(rows: DataFrame, percent: int, paired: int) -> tuple[DataFrame, DataFrame]:
+    """``candidate_pairs``, and the stored lists that they are still read from."""
     by_gram = Window.partitionBy("g")
     posts = rows.select("key", "n", F.explode("prefix").alias("g"))
-    lists = save(posts.withColumn("least", F.min("key").over(by_gram)).withColumn("most", F.max("key").over(by_gram))
-                 .withColumn("size", F.count(F.lit(1)).over(by_gram)).filter("least < most").select("g", "key", "n", "size"))
+    lists = store(posts.withColumn("least", F.min("key").over(by_gram)).withColumn("most", F.max("key").over(by_gram))
+                  .withColumn("size", F.count(F.lit(1)).over(by_gram)).filter("least < most").select("g", "key", "n", "size"))
     short, long = lists.filter(F.col("size") <= paired), lists.filter(F.col("size") > paired)
     x, y = (short.select("g", F.col("key").alias(k), F.col("n").alias("n" + k)) for k in "ab")
     shared = (x.join(y, "g").filter((F.col("a") < F.col("b")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
@@ -178,7 +186,7 @@ def candidate_pairs(rows: DataFrame, percent: int, paired: int = PAIRED) -> Data
     along = Window.partitionBy("g").orderBy("n", "key")
     strung = (long.select("key", F.lag("key").over(along).alias("b"), "n", F.lag("n").over(along).alias("m"))
               .filter((F.col("b") != F.col("key")) & (100 * F.col("m") >= percent * F.col("n"))).select(F.col("key").alias("a"), "b"))
-    return pairs.unionByName(strung).distinct()
+    return pairs.unionByName(strung).distinct(), lists
 
 
 def _member_sets(gram: int):
@@ -288,16 +296,19 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text"))
     table = common_table(base, "text", gram, common)
     flags = spark.sparkContext.broadcast(table) if table is not None else None
-    rows = save(base.select("doc_id", "text").mapInArrow(
+    found = store(base.select("doc_id", "text").mapInArrow(
         _prefixes(gram, percent, flags, TABLE_BITS), "doc_id long, n long, key long, last long, prefix array<long>"))
 
-    meets = candidate_pairs(rows.filter("prefix is not null"), percent, paired)
-    groups = components(meets).select(F.col("node").alias("key"), F.col("root").alias("grp"))
+    meets, lists = _candidate_pairs(found.filter("prefix is not null"), percent, paired)
+    joined = components(meets)
+    rows = store(found.select("doc_id", "n", "key"))
+    drop(lists, found)
+    groups = joined.select(F.col("node").alias("key"), F.col("root").alias("grp"))
 
     # Groups are dealt into blocks along the sets' lengths; blocks meet whose lengths allow a link.
     one = rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n")).join(groups, "key")
     place = F.row_number().over(Window.partitionBy("grp").orderBy("n", "key"))
-    one = save(one.withColumn("blk", F.floor((place - 1) / block).cast("int")))
+    one = store(one.withColumn("blk", F.floor((place - 1) / block).cast("int")))
     spans = one.groupBy("grp", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     first, second = (spans.select("grp", F.col("blk").alias(k), F.col("lo").alias("lo" + k), F.col("hi").alias("hi" + k)) for k in "ij")
     meet = first.join(second, "grp").filter((F.col("i") <= F.col("j")) & (100 * F.col("hii") >= percent * F.col("loj")))
@@ -307,7 +318,8 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     seated = one.join(seats, ["grp", "blk"]).select("doc_id", "key", "grp", "seats")
 
     # The members' whole sets, from one text for each.
-    seated = save(seated)
+    seated = store(seated)
+    drop(one, joined)
     here = seen_table(seated.select(F.xxhash64("doc_id").alias("h")))
     sets = (base.filter(here(F.xxhash64("doc_id"))).join(seated, "doc_id").select("key", "text", "grp", "seats")
             .mapInArrow(_member_sets(gram), "key long, grams binary, grp long, seats array<struct<i:int,j:int,side:int>>"))
@@ -315,6 +327,7 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges = (dealt.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
              .mapInArrow(_group_links(percent), "a long, b long"))
     classes = components(edges).select(F.col("node").alias("key"), "root")
+    drop(seated)
 
     # Back to documents: the least id of all sets of a class.
     least = rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"))

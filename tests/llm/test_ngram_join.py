@@ -1,5 +1,6 @@
 """N-gram join and its helpers against brute force."""
 
+import os
 import random
 import re
 
@@ -122,3 +123,17 @@ def test_extra_columns_with_working_names(spark):
                                "doc_id long, text string, gone_id int, GONE_ID_ string")
     got = sorted(tuple(r) for r in first_of_class(df).collect())
     assert got == [(1, same, 7, "a"), (3, "other words stand here now", 9, "c")]
+
+
+def test_steps_leave_no_tables(spark):
+    """Of the tables between the steps only the documents' keys and the last links are left."""
+    def folders():
+        return {p for p in os.listdir(spark.conf.get("spark.checkpoint.dir")) if p.startswith("store-")}
+
+    rng = random.Random(8)
+    base = [" ".join(f"w{rng.randrange(300)}" for _ in range(40)) for _ in range(30)]
+    rows = [(k, base[k % 30] + (" x" if k >= 30 else "")) for k in range(90)]
+    before = folders()
+    got = similar_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert len(folders() - before) == 2
+    assert {r.doc_id: r.component_id for r in got.collect()} == {k: k % 30 for k in range(90)}

@@ -1,5 +1,6 @@
 """The pipeline's rows against the stages done by hand on a small corpus."""
 
+import os
 import random
 from collections import defaultdict
 
@@ -77,3 +78,16 @@ def test_every_stage_keeps_columns_and_takes_empty_tables(spark, tmp):
         docs = stage(spark, docs, tmp)
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, tmp).collect() == []
+
+
+def test_what_a_stage_has_read_goes(spark, tmp, monkeypatch):
+    """Only the last stage's rows are left; the input is no stage's and stays."""
+    spark.createDataFrame([(k, f"t{k}") for k in range(9)], "doc_id long, text string").write.parquet(f"{tmp}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(f"s{k}", lambda s, docs, d, k=k: docs.filter(f"doc_id <> {k}")) for k in range(3)])
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    out = corpus_pipeline.run(spark, tmp)
+    [made] = [p for p in set(os.listdir(shared)) - before if p.startswith("pipeline-")]
+    assert os.listdir(f"{shared}/{made}") == ["2_s2"]
+    assert sorted(r.doc_id for r in out.collect()) == list(range(3, 9))
+    assert spark.read.parquet(f"{tmp}/documents.parquet").count() == 9
